@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,3 +50,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+
+
+#: Up to so many ids (8 bytes each) are sent to every executor; more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``ids`` (one column); rows with a null id stay."""
+    ids = saved(ids.select(ids.columns[0]).toDF(id_col).distinct(), "dropped")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, id_col, "left_anti")
