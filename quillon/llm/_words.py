@@ -59,6 +59,7 @@ class Words(NamedTuple):
     hashes: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
+    beginnings: list[np.ndarray]
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,14 +88,17 @@ def slices(offsets: np.ndarray, size: int = SLICE_BYTES, docs: int = SLICE_DOCS)
         lo = hi
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE) -> Words:
-    """Words of the documents with these offsets, hashed with A-Z lower-cased."""
+def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE, beginnings: tuple[int, ...] = ()) -> Words:
+    """Words of the documents with these offsets, hashed with A-Z lower-cased.
+
+    ``beginnings`` asks for hashes of each word's first so many bytes too.
+    """
     base, docs = int(offsets[0]), len(offsets) - 1
     text, ends_at = data[base : int(offsets[-1])], offsets - base
     n = len(text)
     if n == 0:
         none = np.zeros(0, np.int64)
-        return Words(np.zeros(docs + 1, np.int64), np.zeros(0, np.uint64), none, none)
+        return Words(np.zeros(docs + 1, np.int64), np.zeros(0, np.uint64), none, none, [np.zeros(0, np.uint64)] * len(beginnings))
     inside = ~separators[text]
     before, after = np.empty(n, bool), np.empty(n, bool)
     before[0], after[-1] = False, False
@@ -109,7 +113,8 @@ def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = S
     total[0] = 0
     np.cumsum(_BYTE_VALUE[text] * up[:n], out=total[1:])
     hashes = mix((total[ends] - total[starts]) * down[starts])
-    return Words(np.searchsorted(starts, ends_at), hashes, starts + base, ends + base)
+    heads = [mix((total[np.minimum(starts + n, ends)] - total[starts]) * down[starts] + _U(n)) for n in beginnings]
+    return Words(np.searchsorted(starts, ends_at), hashes, starts + base, ends + base, heads)
 
 
 def word_hash(word: bytes) -> int:

@@ -11,15 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.llm._shingles import window_hashes
-from quillon.llm._store import saved
+from quillon.llm._store import BROADCAST_IDS, saved
 from quillon.llm._words import NOT_ALNUM, buffers, find_words, powers, slices
 
 _U = np.uint64
 #: Up to so many distinct seeds of the benchmark (8 bytes each) go to every executor to drop
 #: other windows before the join; with more, all windows of the documents are joined.
 BROADCAST_SEEDS = 4_000_000
-#: Up to so many candidate document ids are sent to every executor; more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
 
 
 def _seeds(length: int, known) -> Callable:

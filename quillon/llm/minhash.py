@@ -12,15 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.llm._shingles import BITS, shingle_sets
-from quillon.llm._store import saved
+from quillon.llm._store import BROADCAST_IDS, saved
 from quillon.llm._words import buffers, by_document, find_words, mix, slices
 from quillon.llm.components import connected_components
 
 _U = np.uint64
-#: Up to so many document ids (8 bytes each) are sent to every executor; more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
-#: Rows of one side of a block of bucket members that are compared in memory.
-BLOCK = 512
+#: Rows, and bytes of their sets, of one side of a block of bucket members that are compared in memory.
+BLOCK = 256
+BLOCK_BYTES = 16 << 20
 
 
 class Plan(NamedTuple):
@@ -162,14 +161,19 @@ def _verify(plan: Plan) -> Callable:
 
 
 def _compare_blocks(plan: Plan) -> Callable:
-    """Pairs across components of one block pair of a bucket that Bayesian pruning leaves.
+    """Links that join components within one block pair of a bucket; each is confirmed on full sets.
 
-    A pair that shares several bands is taken up in the first of them only.
+    A pair that shares several bands is taken up in the first of them only. Pairs of a
+    component, also of one that the block's links have made, need no comparison, so a
+    block gives fewer links than it has rows.
     """
 
     def run(block: pa.Table) -> pa.Table:
-        ids, comps = block["rep"].to_numpy(), block["comp"].to_numpy()
-        sides, sigs, bands = block["side"].to_numpy(), _matrix(block["sig"].combine_chunks(), plan.hashes), block["band"].to_numpy()
+        ids, sides = block["rep"].to_numpy(), block["side"].to_numpy()
+        comps, bands = np.unique(block["comp"].to_numpy(), return_inverse=True)[1], block["band"].to_numpy()
+        sigs = _matrix(block["sig"].combine_chunks(), plan.hashes)
+        sets = [np.frombuffer(x, np.uint64) for x in block["shingles"].to_pylist()]
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
         left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
         same = not len(right)
         if same:
@@ -180,14 +184,20 @@ def _compare_blocks(plan: Plan) -> Callable:
             others = right[comps[right] != comps[i]]
             if same:
                 others = others[ids[others] > ids[i]]
-            if len(others):
-                found = others[surviving(np.broadcast_to(sigs[i], (len(others), plan.hashes)), sigs[others], plan)]
-                shared = (keys[found] == keys[i]).all(2)
-                found = found[shared.argmax(1) == bands[i]] if len(found) else found
-                out_a.append(np.full(len(found), ids[i]))
-                out_b.append(ids[found])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+            others = others[plan.share_den * np.minimum(sizes[others], sizes[i]) >= plan.share_num * np.maximum(sizes[others], sizes[i])]
+            if not len(others):
+                continue
+            others = others[surviving(np.broadcast_to(sigs[i], (len(others), plan.hashes)), sigs[others], plan)]
+            others = others[(keys[others] == keys[i]).all(2).argmax(1) == bands[i]]
+            for j in others:
+                if comps[i] == comps[j]:
+                    continue
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if plan.share_den * both >= plan.share_num * (sizes[i] + sizes[j] - both):
+                    out_a.append(min(ids[i], ids[j]))
+                    out_b.append(max(ids[i], ids[j]))
+                    comps[comps == comps[j]] = comps[i]
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
     return run
 
@@ -202,7 +212,7 @@ def near_duplicates(docs: DataFrame, share_num: int = 4, share_den: int = 5, wor
 
     Equal sets are one class. Classes that share a band are compared to the bucket's
     most connected class first; then, where a bucket still holds several components,
-    across these in blocks. Only ``miss`` of the pairs at the threshold may go unseen.
+    across these, block by block, and only the links found leave a block. Only ``miss`` of the pairs at the threshold may go unseen.
 
     Null or empty text: an empty set, linked with nothing. Rows with a null id keep
     their n_shingles, have a null component_id unless an equal set has an id, and
@@ -236,19 +246,23 @@ def _links(source: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
     with_pivot = members.join(pivots, ["band", "bucket"])
     stars = with_pivot.where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
     signs = classes.select("rep", "sig")
-    edges, sets = _confirm(_pruned(stars, signs, plan), source, plan)
+    edges = _confirm(_pruned(stars, signs, plan), source, plan)
 
     comps = connected_components(edges)
     rest = with_pivot.where("rep <> pivot and size > 2").select("band", "bucket", "rep")
     rest = rest.join(comps, F.col("rep") == F.col("node"), "left").select("band", "bucket", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed = rest.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band", "bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rest = rest.join(mixed, ["band", "bucket"]).join(signs, "rep")
+    mixed = rest.groupBy("band", "bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band", "bucket")
+    rest = saved(rest.join(mixed, ["band", "bucket"]), "rest")
+    sets = _sets(rest.select(F.col("rep").alias("id")).distinct(), source, plan).withColumnRenamed("id", "rep")
+    length = sets.select("rep", F.octet_length("shingles").alias("bytes"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
+    blocks = rest.join(length, "rep").groupBy("band", "bucket").agg(blocks)
+    rest = rest.join(blocks, ["band", "bucket"]).join(signs, "rep").join(sets, "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, own).alias("i"), F.greatest(j, own).alias("j"), F.when(own <= j, 0).otherwise(1).alias("side")))
-    rest = rest.select("band", "bucket", "rep", "comp", "sig", F.explode(tiles).alias("t")).select("band", "bucket", "rep", "comp", "sig", "t.*")
-    pairs = rest.groupBy("band", "bucket", "i", "j").applyInArrow(_compare_blocks(plan), "a long, b long").distinct()
-    more, _ = _confirm(saved(pairs, "pairs"), source, plan)
-    return edges.unionAll(more)
+    rest = rest.select("band", "bucket", "rep", "comp", "sig", "shingles", F.explode(tiles).alias("t")).select("band", "bucket", "rep", "comp", "sig", "shingles", "t.*")
+    more = rest.groupBy("band", "bucket", "i", "j").applyInArrow(_compare_blocks(plan), "a long, b long").distinct()
+    return edges.unionAll(saved(more, "links"))
 
 
 def _pruned(pairs: DataFrame, signs: DataFrame, plan: Plan) -> DataFrame:
@@ -256,11 +270,15 @@ def _pruned(pairs: DataFrame, signs: DataFrame, plan: Plan) -> DataFrame:
     return saved(both.select("a", "b", "sa", "sb").mapInArrow(_prune(plan), "a long, b long"), "pairs")
 
 
-def _confirm(pairs: DataFrame, source: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
-    """The pairs whose full sets meet the threshold, and the sets of their documents."""
-    ids = saved(pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-    few = ids.count() <= BROADCAST_IDS
-    wanted = source.join(F.broadcast(ids) if few else ids, "id", "left_semi")
-    sets = saved(wanted.mapInArrow(_collect_sets(plan), "id long, shingles binary"), "sets")
+def _sets(ids: DataFrame, source: DataFrame, plan: Plan) -> DataFrame:
+    """(id, shingles) of the documents with these ids, a written table."""
+    ids = saved(ids, "ids")
+    wanted = source.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+    return saved(wanted.mapInArrow(_collect_sets(plan), "id long, shingles binary"), "sets")
+
+
+def _confirm(pairs: DataFrame, source: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs whose full sets meet the threshold."""
+    sets = _sets(pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct(), source, plan)
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    return saved(both.select("a", "b", "x", "y").mapInArrow(_verify(plan), "a long, b long").distinct(), "links"), sets
+    return saved(both.select("a", "b", "x", "y").mapInArrow(_verify(plan), "a long, b long").distinct(), "links")
