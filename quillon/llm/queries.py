@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import exact_dedup
+from quillon.llm import exact_dedup, pii, ppm, toxicity, warc
+from quillon.llm._store import fresh_path
 from quillon.llm.decontamination import contaminated
 from quillon.llm.exact_dedup import exact_duplicates
 from quillon.llm.language_id import identify
@@ -22,10 +23,23 @@ def remainder(divisor: int, id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"), remainder(5) == 1)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), toxicity.default_categories(), "toxic")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
+    return warc.resolved(warc.read(archives))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -34,6 +48,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 85, 100)
 
@@ -45,5 +63,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "family_pred")
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_packing, op6_decontamination, op9_minhash, op10_language_id)}
-ORACLE_SQL = {"op3_exact_dedup": exact_dedup.SQL}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_toxicity, op3_exact_dedup, op4_warc, op5_packing, op6_decontamination, op8_pii, op9_minhash, op10_language_id)}
+ORACLE_SQL = {"op3_exact_dedup": exact_dedup.SQL, "op4_warc": warc.SQL}
