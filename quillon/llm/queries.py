@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import exact_dedup, pii, ppm, toxicity, warc
+from quillon.llm import exact_dedup, licenses, pii, ppm, toxicity, warc
 from quillon.llm._store import fresh_path
 from quillon.llm.decontamination import contaminated
 from quillon.llm.exact_dedup import exact_duplicates
@@ -48,6 +48,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
@@ -63,5 +67,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "family_pred")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op2_toxicity, op3_exact_dedup, op4_warc, op5_packing, op6_decontamination, op8_pii, op9_minhash, op10_language_id)}
-ORACLE_SQL = {"op3_exact_dedup": exact_dedup.SQL, "op4_warc": warc.SQL}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_toxicity, op3_exact_dedup, op4_warc, op5_packing, op6_decontamination, op7_licenses, op8_pii, op9_minhash, op10_language_id)}
+ORACLE_SQL = {"op3_exact_dedup": exact_dedup.SQL, "op4_warc": warc.SQL, "op7_licenses": licenses.sql()}
