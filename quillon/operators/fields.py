@@ -68,30 +68,34 @@ def anchor_candidates(text: Column, spec: dict, default_window: int = 120, limit
     """Values near a label: the label's weight falls by up to 0.4 with the distance, a valid value adds 0.05."""
     window, direction, regex, check = int(spec.get("window", default_window)), spec.get("direction", "after"), spec["value"], spec.get("check")
     group, low, found = (1 if _groups(regex) else 0), F.lower(text), []
-    for label, weight in sorted(spec["labels"].items(), key=lambda x: -x[1]):
 
-        def judged(value: Column, start: Column, distance: Column, weight: float = weight) -> Column:
+    def ways(label: str, weight: float) -> dict:
+        def judged(value: Column, start: Column, distance: Column) -> Column:
             valid = validate(check, value) if check else F.lit(False)
             sure = F.least(F.lit(0.95), weight * (1 - 0.4 * F.least(F.lit(1.0), distance / max(1, window))))
             sure = F.round(F.when(valid, F.least(F.lit(1.0), sure + 0.05)).otherwise(sure), 4)
             return _candidate(value, start, valid, sure, F.lit("anchor"))
 
-        def after(at: Column, label: str = label, judged=judged) -> Column:
+        def after(at: Column) -> Column:
             begin = at + len(label)
             part = F.substr(text, begin + 1, F.lit(window))
             whole, value = F.regexp_extract(part, regex, 0), F.regexp_extract(part, regex, group)
             offset = F.regexp_instr(part, F.lit(regex)) - 1 + F.char_length(whole) - F.char_length(value)
             return F.when(F.char_length(whole) > 0, judged(value, begin + offset, offset))
 
-        def before(at: Column, judged=judged) -> Column:
+        def before(at: Column) -> Column:
             begin = F.greatest(at - window, F.lit(0))
-            hit = F.element_at(matches(F.substr(text, begin + 1, at - begin), regex, 1000), -1)
+            hit = F.try_element_at(matches(F.substr(text, begin + 1, at - begin), regex, 1000), F.lit(-1))
             end = begin + hit["start"] + F.char_length(hit["value"])
             return F.when(hit.isNotNull(), judged(hit["value"], begin + hit["start"], at - end))
 
-        for way, hit in (("after", after), ("before", before)):
+        return {"after": after, "before": before}
+
+    for label, weight in sorted(spec["labels"].items(), key=lambda x: -x[1]):
+        for way, hit in ways(label, weight).items():
             if direction in (way, "both"):
-                found.append(F.when(low.contains(label.lower()), F.filter(F.transform(_occurrences(low, label.lower()), hit), lambda c: c.isNotNull())).otherwise(F.array().cast(CANDIDATE)))
+                near = F.filter(F.transform(_occurrences(low, label.lower()), hit), lambda c: c.isNotNull())
+                found.append(F.when(low.contains(label.lower()), near).otherwise(F.array().cast(CANDIDATE)))
     return F.slice(F.concat(*found), 1, limit)
 
 
@@ -122,20 +126,53 @@ def positional_candidates(words: DataFrame, sizes: DataFrame, docs: DataFrame, t
     return out.groupBy("doc_id", "field").agg(F.min_by(F.struct("value", "start", "end", "confidence"), "rank").alias("x")).select("doc_id", "field", "x.*")
 
 
-def candidates(name: str, full: Column, config: Config | None = None) -> Column:
-    """The candidates of the first of a field's strategies that finds any."""
-    config = config or load()
-    spec, options = config.fields["fields"][name], config.settings["fields"]
-    found = F.array().cast(CANDIDATE)
-    for strategy in reversed(spec["find"]):
-        if strategy == "pattern":
-            own = pattern_candidates(full, spec["pattern"], options["candidates"])
-        elif strategy == "anchor":
-            own = anchor_candidates(full, spec["anchor"], options["window"], options["candidates"])
-        else:
-            continue
-        found = F.when(F.size(own) > 0, own).otherwise(found)
-    return found
+def candidates(docs: DataFrame, names: list[str], config: Config) -> DataFrame:
+    """``docs`` with f_<name>: the ranked candidates of the first of each field's strategies that finds any.
+
+    Each strategy's candidates are a column of their own, so that they are computed once.
+    """
+    options, text, found = config.settings["fields"], F.coalesce(F.col("full"), F.lit("")), {}
+    for name in names:
+        spec = config.fields["fields"][name]
+        for strategy in spec["find"]:
+            if strategy == "pattern":
+                found[f"{strategy}_{name}"] = pattern_candidates(text, spec["pattern"], options["candidates"])
+            elif strategy == "anchor":
+                found[f"{strategy}_{name}"] = anchor_candidates(text, spec["anchor"], options["window"], options["candidates"])
+    docs = docs.withColumns(found)
+    chosen = {}
+    for name in names:
+        first = F.array().cast(CANDIDATE)
+        for strategy in reversed([x for x in config.fields["fields"][name]["find"] if f"{x}_{name}" in found]):
+            own = F.col(f"{strategy}_{name}")
+            first = F.when(F.size(own) > 0, own).otherwise(first)
+        chosen[f"f_{name}"] = F.array_sort(first)
+    return docs.withColumns(chosen).drop(*found)
+
+
+def _forms(name: str, normalizer: str | None) -> Column:
+    return F.transform(F.col(f"f_{name}"), lambda c: normalize(normalizer, c["value"]))
+
+
+def _finished(name: str, spec: dict, config: Config) -> Column:
+    """A field's ranked candidates (f_<name>) and their normal forms (n_<name>) as records; char_start and field come first to sort by."""
+    values, forms = F.col(f"f_{name}"), F.col(f"n_{name}")
+    both = F.arrays_zip(values, forms)
+
+    def record(x: Column) -> Column:
+        c = x[f"f_{name}"]
+        money = currency_code(F.col("full"), c["start"], config.fields["currency"]) if spec.get("normalizer") == "currency" else F.lit(None).cast("string")
+        return F.struct(
+            c["start"].alias("char_start"), F.lit(name).alias("field"), c["value"].alias("value"), x[f"n_{name}"].alias("normalized_value"),
+            page_of(F.col("spans_"), c["start"]).alias("page"), c["end"].alias("char_end"), F.round(-c["doubt"], 4).alias("confidence"), c["method"].alias("method"),
+            (~c["unproven"]).alias("validated"), F.lit(config.fields["version"]).alias("normalizer_version"), money.alias("currency"),
+        )
+
+    kept = F.transform(both, record)
+    if spec.get("multi"):
+        keys = F.transform(both, lambda x: F.coalesce(x[f"n_{name}"], x[f"f_{name}"]["value"]))
+        kept = F.filter(kept, lambda m, i: F.array_position(keys, F.coalesce(m["normalized_value"], m["value"])) == i + 1)
+    return kept
 
 
 def extract(docs: DataFrame, config: Config | None = None, only: list[str] | None = None) -> DataFrame:
@@ -147,38 +184,22 @@ def extract(docs: DataFrame, config: Config | None = None, only: list[str] | Non
     """
     config = config or load()
     options, unknown = config.settings["fields"], config.settings["classification"]["unknown"]
-    docs = docs.withColumn("spans_", page_spans(F.col("pages")))
-    columns = {}
-    for name, spec in config.fields["fields"].items():
-        if only is not None and name not in only:
-            continue
-        found = F.array_sort(candidates(name, F.coalesce(F.col("full"), F.lit("")), config))
-        scope = spec.get("classes")
-        if scope:
-            searched = scope + (["", unknown] if options["scoped_when_unknown"] else [])
+    wanted = [n for n in config.fields["fields"] if only is None or n in only]
+    docs = candidates(docs.withColumn("spans_", page_spans(F.col("pages"))), wanted, config)
+    kept, forms = {}, {}
+    for name in wanted:
+        spec, found = config.fields["fields"][name], F.col(f"f_{name}")
+        if spec.get("classes"):
+            searched = spec["classes"] + (["", unknown] if options["scoped_when_unknown"] else [])
             found = F.when(F.coalesce(F.col("label"), F.lit("")).isin(searched), found).otherwise(F.array().cast(CANDIDATE))
-        columns[f"f_{name}"] = found if spec.get("multi") else F.slice(found, 1, 1)
-    docs = docs.select("*", *[c.alias(n) for n, c in columns.items()])
-
-    parts = []
-    for name in columns:
-        spec = config.fields["fields"][name[2:]]
-        form = lambda c, spec=spec: F.coalesce(normalize(spec.get("normalizer"), c["value"]), c["value"])
-        kept = F.filter(F.col(name), lambda c: F.substring(F.col("full"), c["start"] + 1, c["end"] - c["start"]) == c["value"]) if options["drop_mismatch"] else F.col(name)
-        if spec.get("multi"):
-            forms = F.transform(kept, form)
-            kept = F.filter(kept, lambda c, i, forms=forms, form=form: F.array_position(forms, form(c)) == i + 1)
-
-        def record(c: Column, name: str = name, spec: dict = spec) -> Column:
-            money = currency_code(F.col("full"), c["start"], config.fields["currency"]) if spec.get("normalizer") == "currency" else F.lit(None).cast("string")
-            return F.struct(
-                c["start"].alias("char_start"), F.lit(name[2:]).alias("field"), c["value"].alias("value"), normalize(spec.get("normalizer"), c["value"]).alias("normalized_value"),
-                page_of(F.col("spans_"), c["start"]).alias("page"), c["end"].alias("char_end"), F.round(-c["doubt"], 4).alias("confidence"), c["method"].alias("method"),
-                (~c["unproven"]).alias("validated"), F.lit(config.fields["version"]).alias("normalizer_version"), money.alias("currency"),
-            )
-
-        parts.append(F.transform(kept, record))
+        found = found if spec.get("multi") else F.slice(found, 1, 1)
+        if options["drop_mismatch"]:
+            found = F.filter(found, lambda c: F.substr(F.col("full"), c["start"] + 1, c["end"] - c["start"]) == c["value"])
+        kept[f"f_{name}"] = found
+        forms[f"n_{name}"] = _forms(name, spec.get("normalizer"))
+    docs = docs.withColumns(kept).withColumns(forms)
+    parts = [_finished(name, config.fields["fields"][name], config) for name in wanted]
     names = ("field", "value", "normalized_value", "page", "char_start", "char_end", "confidence", "method", "validated", "normalizer_version", "currency")
     ordered = F.array_sort(F.concat(*parts))
     metadata = F.transform(ordered, lambda m: F.struct(*[m[n].alias(n) for n in names]))
-    return docs.withColumn("metadata", metadata).drop("spans_", *columns)
+    return docs.withColumn("metadata", metadata).drop("spans_", *kept, *forms)

@@ -15,9 +15,15 @@ def org_key(value: Column) -> Column:
 
 
 def fields_of(records: DataFrame) -> DataFrame:
-    """(doc_id, filename, label, field, value, char_start, validated): a row per field; rows without an id go."""
-    each = records.where(F.coalesce(F.col("doc_id"), F.lit("")) != "").select("doc_id", "filename", F.coalesce(F.col("classification.label"), F.lit("unknown")).alias("label"), F.explode("metadata").alias("m"))
-    return each.select("doc_id", "filename", "label", F.col("m.field").alias("field"), F.col("m.normalized_value").alias("value"), F.coalesce("m.char_start", F.lit(0)).alias("char_start"), F.coalesce("m.validated", F.lit(False)).alias("validated"))
+    """(doc_id, filename, label, field, value, char_start, validated): a row per field; rows without an id go.
+
+    The class travels inside the exploded rows: later filters on it then apply to the
+    rows, and are not pushed into the expressions that found it.
+    """
+    label = F.coalesce(F.col("classification.label"), F.lit("unknown"))
+    each = F.transform("metadata", lambda m: F.struct(label.alias("label"), m["field"].alias("field"), m["normalized_value"].alias("value"), F.coalesce(m["char_start"], F.lit(0)).alias("char_start"), F.coalesce(m["validated"], F.lit(False)).alias("validated")))
+    rows = records.where(F.coalesce(F.col("doc_id"), F.lit("")) != "").select("doc_id", "filename", F.explode_outer(each).alias("m"))
+    return rows.where("m is not null").select("doc_id", "filename", "m.*")
 
 
 def identities(fields: DataFrame) -> DataFrame:

@@ -22,11 +22,12 @@ def word_terms(text: Column) -> Column:
 def character_terms(text: Column, least: int = 3, most: int = 5) -> Column:
     """Runs of characters within words, each word with a blank on either side."""
     words = F.transform(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-    runs = []
-    for n in range(least, most + 1):
-        cut = lambda w, n=n: F.when(F.char_length(w) >= n, F.transform(F.sequence(F.lit(1), F.char_length(w) - n + 1), lambda i: F.substr(w, i, F.lit(n)))).otherwise(F.array(w))
-        runs.append(F.flatten(F.transform(words, cut)))
-    return F.concat(*runs)
+
+    def runs(n: int) -> Column:
+        cut = lambda w: F.when(F.char_length(w) >= n, F.transform(F.sequence(F.lit(1), F.char_length(w) - n + 1), lambda i: F.substr(w, i, F.lit(n)))).otherwise(F.array(w))
+        return F.flatten(F.transform(words, cut))
+
+    return F.concat(*[runs(n) for n in range(least, most + 1)])
 
 
 def features(rows: DataFrame, text: str = "text") -> DataFrame:

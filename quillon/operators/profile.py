@@ -38,7 +38,7 @@ def distribution(rows: DataFrame, value: str) -> DataFrame:
 
 def field_hits(records: DataFrame) -> DataFrame:
     """(field, documents, validated): documents that have a field, and that have it proven."""
-    each = records.select("doc_id", F.explode("metadata").alias("m"))
+    each = records.select("doc_id", F.explode_outer("metadata").alias("m")).where("m is not null")
     return each.groupBy(F.col("m.field").alias("field")).agg(F.countDistinct("doc_id").alias("documents"), F.countDistinct(F.when(F.col("m.validated"), F.col("doc_id"))).alias("validated"))
 
 

@@ -81,11 +81,11 @@ def document_rows(records: DataFrame) -> DataFrame:
 
 
 def metadata_rows(records: DataFrame) -> DataFrame:
-    return records.select(F.col("doc_id").alias("DOC_ID"), F.explode("metadata").alias("m")).select("DOC_ID", F.col("m.field").alias("FIELD"), F.col("m.value").alias("VALUE"), F.col("m.normalized_value").alias("NORMALIZED"), F.col("m.char_start").alias("CHAR_START"), F.col("m.char_end").alias("CHAR_END"), F.col("m.confidence").alias("CONFIDENCE"), F.col("m.validated").alias("VALIDATED"), F.lit("").alias("VERDICT"), F.lit("").alias("CORRECTED"))
+    return records.select(F.col("doc_id").alias("DOC_ID"), F.explode_outer("metadata").alias("m")).where("m is not null").select("DOC_ID", F.col("m.field").alias("FIELD"), F.col("m.value").alias("VALUE"), F.col("m.normalized_value").alias("NORMALIZED"), F.col("m.char_start").alias("CHAR_START"), F.col("m.char_end").alias("CHAR_END"), F.col("m.confidence").alias("CONFIDENCE"), F.col("m.validated").alias("VALIDATED"), F.lit("").alias("VERDICT"), F.lit("").alias("CORRECTED"))
 
 
 def tag_rows(records: DataFrame) -> DataFrame:
-    return records.select(F.col("doc_id").alias("DOC_ID"), F.explode("tags").alias("t")).select("DOC_ID", F.col("t.tag").alias("TAG"), F.col("t.confidence").alias("CONFIDENCE"), F.col("t.method").alias("METHOD"), F.lit("").alias("VERDICT"))
+    return records.select(F.col("doc_id").alias("DOC_ID"), F.explode_outer("tags").alias("t")).where("t is not null").select("DOC_ID", F.col("t.tag").alias("TAG"), F.col("t.confidence").alias("CONFIDENCE"), F.col("t.method").alias("METHOD"), F.lit("").alias("VERDICT"))
 
 
 def taxonomy_rows(spark, config: Config | None = None) -> DataFrame:

@@ -86,7 +86,7 @@ def runner_up(scores: Column, label: Column) -> Column:
 
 def offset_violations(records: DataFrame) -> DataFrame:
     """(doc_id, field, char_start, char_end, value, found): fields whose span does not slice back to the value."""
-    each = records.select("doc_id", F.col("text.full").alias("full"), F.explode("metadata").alias("m"))
+    each = records.select("doc_id", F.col("text.full").alias("full"), F.explode_outer("metadata").alias("m")).where("m is not null")
     found = F.substring(F.col("full"), F.col("m.char_start") + 1, F.col("m.char_end") - F.col("m.char_start"))
     return each.select("doc_id", F.col("m.field").alias("field"), F.col("m.char_start").alias("char_start"), F.col("m.char_end").alias("char_end"), F.col("m.value").alias("value"), found.alias("found")).where("not (found <=> value)")
 
