@@ -220,5 +220,6 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
 
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select(id_col, *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
