@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -80,19 +81,20 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(names, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32()))], ["lang", "features", "weights"])
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, epochs: int = 12, seed: int = 7) -> np.ndarray:
-    """Weights of an L2-loss linear SVM by dual coordinate descent; y is -1 or 1, classes weigh the same."""
+def linear_svm(x: np.ndarray, rows: np.ndarray, y: np.ndarray, c: float = 1.0, epochs: int = 12, seed: int = 7) -> np.ndarray:
+    """Weights of an L2-loss linear SVM on some rows of x by dual coordinate descent; y is -1 or 1, classes weigh the same."""
     n = len(y)
     share = {s: n / (2.0 * max(1, int((y == s).sum()))) for s in (-1, 1)}
     shift = np.array([1 / (2 * c * share[int(s)]) for s in y])
-    norms = (x * x).sum(1) + shift
+    norms = np.einsum("ij,ij->i", x, x)[rows] + shift
     w, alpha, rng = np.zeros(x.shape[1]), np.zeros(n), np.random.default_rng(seed)
     for _ in range(epochs):
         for i in rng.permutation(n):
-            g = y[i] * (x[i] @ w) - 1 + shift[i] * alpha[i]
+            own = x[rows[i]]
+            g = y[i] * float(own @ w) - 1 + shift[i] * alpha[i]
             new = max(0.0, alpha[i] - g / norms[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                w += ((new - alpha[i]) * y[i]) * own
                 alpha[i] = new
     return w
 
@@ -131,16 +133,16 @@ class Model:
         for r, (f, v) in enumerate(zip(features, weights, strict=True)):
             at = column[f]
             x[r, at[at >= 0]] = v[at >= 0]
-        scale = np.sqrt((x * x).mean(0)) + 1e-4
-        x /= scale * np.sqrt(len(used))
+        scale = (np.sqrt(np.einsum("ij,ij->j", x, x) / max(1, len(x))) + 1e-4).astype(np.float32)
+        x /= scale * np.float32(np.sqrt(len(used)))
         x[:, -1] = 1.0
         lang, family = np.array(labels), np.array([family_of(v) for v in labels])
         for k, (of, a, b) in enumerate(self.pairs):
             group = lang if of else family
             rows = np.flatnonzero((group == a) | (group == b))
             y = np.where(group[rows] == a, 1, -1)
-            w = linear_svm(x[rows].astype(np.float64), y)
-            self.slope[k] = _sharpness(x[rows] @ w, y)
+            w = linear_svm(x, rows, y)
+            self.slope[k] = _sharpness((x @ w)[rows], y)
             self.weights[used, k] = w[:-1] / (scale[:-1] * np.sqrt(len(used)))
             self.bias[k] = w[-1]
         return self
@@ -222,8 +224,8 @@ def train(labelled: DataFrame, per_language: int = 1000) -> Model:
         drawn = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < rate[F.col("lang")] * 1_000_000
         sample = rows.where(drawn).select("lang", "text").mapInArrow(_featurise, "lang string, features array<int>, weights array<float>").toArrow()
         features, weights = ([np.asarray(v.values) for v in sample[c].combine_chunks()] for c in ("features", "weights"))
-        order = sorted(range(len(features)), key=lambda i: (sample["lang"][i].as_py(), features[i].tobytes(), weights[i].tobytes()))
         labels = sample["lang"].to_pylist()
+        order = sorted(range(len(features)), key=lambda i: (labels[i], zlib.crc32(weights[i].tobytes(), zlib.crc32(features[i].tobytes()))))
         present = sorted(set(labels))
         model = Model(present)
         if len(present) > 1:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -151,7 +152,7 @@ def train(labelled: DataFrame, names: list[str]) -> Chain:
     chain = Chain(names)
     words, counts = ([np.asarray(v.values) for v in sample[c].combine_chunks()] if sample.num_rows else [] for c in ("words", "counts"))
     labels = np.array(sample["labels"].to_pylist(), float).reshape(-1, len(names))
-    order = sorted(range(len(words)), key=lambda i: (labels[i].tolist(), words[i].tobytes()))
+    order = sorted(range(len(words)), key=lambda i: (labels[i].tolist(), zlib.crc32(counts[i].tobytes(), zlib.crc32(words[i].tobytes()))))
     if order and sum(len(w) for w in words):
         chain.fit([words[i] for i in order], [counts[i] for i in order], sample["total"].to_numpy()[order], labels[order], sample["fold"].to_numpy()[order])
     return chain
