@@ -40,7 +40,7 @@ def match(gold: DataFrame, pred: DataFrame, gold_order: str = "gold_n", pred_ord
 def word_errors(ref: Column, hyp: Column) -> Column:
     """Edit distance of two arrays of words: each distinct word becomes one character of its own."""
     words = F.array_distinct(F.concat(ref, hyp))
-    letter = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(words, w) + 0x10000), 8, "0")), F.lit("UTF-32BE"))
+    letter = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(words, w) + 0x10000), 8, "0")), "UTF-32")
     coded = lambda a: F.array_join(F.transform(a, letter), "")
     return F.levenshtein(coded(ref), coded(hyp))
 

@@ -22,6 +22,7 @@ CASE kind WHEN 'receipt' THEN 'PAYMENT RECEIPT' WHEN 'purchase_order' THEN 'PURC
 || 'GSTIN: ' || gstin || chr(10)
 || CASE WHEN has_bank THEN 'IFSC: ' || ifsc || chr(10) ELSE '' END
 || 'Account Number: ' || account || chr(10)
+|| CASE WHEN o_orderkey % 2 = 0 THEN 'Terms: payment within thirty days of the date of this document, by bank transfer' || chr(10) ELSE '' END
 || 'Bill To: Customer' || chr(10)
 || CASE kind WHEN 'receipt' THEN 'Received with thanks, amount paid: INR ' ELSE 'Grand Total: INR ' END || amount || chr(10)
 """

@@ -158,10 +158,10 @@ def assemble_words(tokens: DataFrame) -> DataFrame:
     Words of a line are joined by blanks, lines by line feeds.
     """
     order = ["block", "par", "line", "word_num"]
-    page = W.partitionBy("doc_id", "page").orderBy(*order)
+    page = W.partitionBy("doc_id", "page").orderBy(*order, "text")
     rows = tokens.where(F.col("text").rlike(r"(?U)\S")).withColumn("first", F.coalesce(F.struct("block", "par", "line") != F.lag(F.struct("block", "par", "line")).over(page), F.lit(False)))
     rows = rows.withColumn("char_end", F.sum(F.char_length("text") + 1).over(page.rowsBetween(W.unboundedPreceding, 0)) - 1).withColumn("char_start", F.col("char_end") - F.char_length("text"))
-    word = F.struct(*order, F.col("first").alias("first"), *[F.col(c).alias(c) for c in ("text", "conf", "x0", "y0", "x1", "y1")], F.col("char_start").cast("int").alias("char_start"), F.col("char_end").cast("int").alias("char_end"))
+    word = F.struct(*order, *[F.col(c).alias(c) for c in ("text", "conf", "x0", "y0", "x1", "y1")], F.col("first").alias("first"), F.col("char_start").cast("int").alias("char_start"), F.col("char_end").cast("int").alias("char_end"))
     out = rows.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(word)).alias("w"))
     text = F.aggregate("w", F.lit(""), lambda a, w: F.concat(a, F.when(w["char_start"] == 0, "").when(w["first"], "\n").otherwise(" "), w["text"]))
     keep = ("text", "conf", "x0", "y0", "x1", "y1", "char_start", "char_end")
@@ -173,7 +173,7 @@ def map_words(text: Column, words: Column) -> Column:
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<word:string,start:int,end:int>>").alias("out"))
 
     def step(s: Column, w: Column) -> Column:
-        later = F.locate_(w, text, s["at"] + 1) if hasattr(F, "locate_") else F.position(w, text, s["at"] + 1)
+        later = F.position(w, text, s["at"] + 1)
         place = F.when(later > 0, later).otherwise(F.position(w, text, F.lit(1))) - 1
         found = (place >= 0) & (F.char_length(w) > 0)
         end = place + F.char_length(w)
@@ -202,7 +202,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line): those that are no JSON."""
     lines = spark.read.option("lineSep", "\n").text(path).select(F.col("value").alias("line")).where("trim(line) <> ''")
-    return lines.where(F.try_parse_json("line").isNull() if hasattr(F, "try_parse_json") else F.json_object_keys("line").isNull())
+    return lines.where(F.try_parse_json("line").isNull())
 
 
 def read_annotations(spark: SparkSession, path: str) -> DataFrame:
