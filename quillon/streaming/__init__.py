@@ -1,0 +1 @@
+"""Documents that keep arriving."""

@@ -34,3 +34,17 @@ def test_some_queries_match_their_sql(spark, sf):
         found = con.execute(e.oracle_sql()[name])
         at = [[d[0] for d in found.description].index(c) for c in names]
         assert mine == sorted(repr(tuple(r[i] for i in at)) for r in found.fetchall()), name
+
+
+def test_arriving_files_become_records_once(spark, tmp_path):
+    from quillon.streaming.incremental import run
+
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.txt").write_text("TAX INVOICE")
+    run(spark, folder, out, state).awaitTermination()
+    (tmp_path / "in/b.txt").write_text("CASH RECEIPT")
+    (tmp_path / "in/c.txt").write_text("TAX INVOICE")  # the same content again
+    run(spark, folder, out, state).awaitTermination()
+    got = [r.label for r in spark.read.parquet(out).select("classification.label").collect()]
+    assert sorted(got) == ["invoice", "receipt"]
