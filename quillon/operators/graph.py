@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,24 +61,27 @@ def match_roles(pairs: DataFrame, margin: int = 60) -> DataFrame:
     """(doc_id, role, org, name, distance): nearest pairs first, a role and an organisation once each.
 
     A pair whose organisation another role claims less than ``margin`` further on is
-    refused, and the organisation is spent. Greedy within a document, whose pairs are
-    few; documents are independent groups.
+    refused, and the organisation is spent. Greedy within a document, whose few pairs
+    are one row.
     """
 
-    def greedy(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values(["distance", "role", "role_start", "org"], kind="stable").to_dict("records")
-        spent, given, out = set(), set(), []
-        for i, r in enumerate(rows):
-            if r["org"] in spent or r["role"] in given:
-                continue
-            spent.add(r["org"])
-            rival = next((x["distance"] for x in rows[i + 1 :] if x["role"] != r["role"] and x["org"] == r["org"]), None)
-            if rival is None or rival - r["distance"] >= margin:
-                given.add(r["role"])
-                out.append(r)
-        return pd.DataFrame(out, columns=["doc_id", "role", "org", "name", "distance"])
-
-    return pairs.groupBy("doc_id").applyInPandas(greedy, "doc_id string, role string, org string, name string, distance int")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for docs in batches:
+            out = []
+            for doc, rows in zip(docs["doc_id"], docs["pairs"]):
+                spent, given = set(), set()
+                for i, r in enumerate(rows):
+                    if r["org"] in spent or r["role"] in given:
+                        continue
+                    spent.add(r["org"])
+                    rival = next((x["distance"] for x in rows[i + 1 :] if x["role"] != r["role"] and x["org"] == r["org"]), None)
+                    if rival is None or rival - r["distance"] >= margin:
+                        given.add(r["role"])
+                        out.append((doc, r["role"], r["org"], r["name"], r["distance"]))
+            yield pd.DataFrame(out, columns=["doc_id", "role", "org", "name", "distance"])
+
+    packed = pairs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("distance", "role", "role_start", "org", "name"))).alias("pairs"))
+    return packed.mapInPandas(run, "doc_id string, role string, org string, name string, distance int")
 
 
 def accounts(fields: DataFrame, qualifier: str = "ifsc") -> DataFrame:

@@ -236,8 +236,8 @@ def cls_cascade(spark, sf_dir):
 
 @query("""
 WITH t AS (SELECT doc_id, text, lower(text) AS low FROM documents)
-SELECT doc_id, regexp_matches(low, 'licensed\\s+under') AS pattern_hit, regexp_matches(low, '(^|\\W)license(\\W|$)') AND (regexp_matches(low, '(^|\\W)apache(\\W|$)') OR regexp_matches(low, '(^|\\W)mit(\\W|$)')) AS words_hit, false AS empty_hit,
-       greatest(CASE WHEN regexp_matches(low, 'licensed\\s+under') THEN 0.9 ELSE 0 END, CASE WHEN regexp_matches(low, '(^|\\W)mit(\\W|$)') THEN 0.5 ELSE 0 END)::DOUBLE AS score FROM t""")
+SELECT doc_id, regexp_matches(low, 'licensed\\s+under') AS pattern_hit, regexp_matches(low, '(^|[^\\p{L}\\p{N}_])license([^\\p{L}\\p{N}_]|$)') AND (regexp_matches(low, '(^|[^\\p{L}\\p{N}_])apache([^\\p{L}\\p{N}_]|$)') OR regexp_matches(low, '(^|[^\\p{L}\\p{N}_])mit([^\\p{L}\\p{N}_]|$)')) AS words_hit, false AS empty_hit,
+       greatest(CASE WHEN regexp_matches(low, 'licensed\\s+under') THEN 0.9 ELSE 0 END, CASE WHEN regexp_matches(low, '(^|[^\\p{L}\\p{N}_])mit([^\\p{L}\\p{N}_]|$)') THEN 0.5 ELSE 0 END)::DOUBLE AS score FROM t""")
 def flt_markers(spark, sf_dir):
     texts = rules.scopes(F.col("text"), F.array("text"))
     a, b = {"pattern": r"licensed\s+under", "weight": 0.9}, {"all": ["license"], "any": ["apache", "mit"]}
