@@ -51,7 +51,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     best = F.min(F.struct((-F.col("chars")).alias("c"), F.col("id").isNull().alias("no_id"), "id")).getField("id").alias("keep_id")
     found = rows.where("digest is not null")
     groups = found.groupBy("digest").agg(best, F.count(F.lit(1)).alias("group_size"))
-    groups = groups.where("group_size > 1")
+    # As a written table the groups are shuffled for the join by themselves: then the rows of a
+    # very large group, which are the other side, can be split over tasks.
+    groups = saved(groups.where("group_size > 1"), "groups")
     out = rows.join(groups, "digest", "left")
     alone = F.col("group_size").isNull()
     keep = F.when(alone, F.col("id")).otherwise(F.col("keep_id"))
