@@ -237,12 +237,14 @@ def _links(source: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
     """Links (a, b) between class representatives that connect whatever is linked."""
     bands = F.transform(F.sequence(F.lit(0), F.lit(plan.bands - 1)), lambda i: F.struct(i.cast("int").alias("band"), F.xxhash64(i, F.substring(F.col("sig"), i * (4 * plan.rows) + 1, 4 * plan.rows)).alias("bucket")))
     members = classes.select("rep", F.explode(bands).alias("at")).select("rep", "at.*")
-    sizes = members.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # Sums by bucket are written before members join them: a very large bucket's members are then a
+    # side of the join by themselves, and can be split over tasks.
+    sizes = saved(members.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     members = saved(members.join(sizes, ["band", "bucket"]), "members")
 
     central = members.groupBy("rep").agg(F.sum("size").alias("weight"))
     members = saved(members.join(central, "rep"), "weighted")
-    pivots = members.groupBy("band", "bucket").agg(F.min(F.struct((-F.col("weight")).alias("w"), "rep")).getField("rep").alias("pivot"))
+    pivots = saved(members.groupBy("band", "bucket").agg(F.min(F.struct((-F.col("weight")).alias("w"), "rep")).getField("rep").alias("pivot")), "pivots")
     with_pivot = members.join(pivots, ["band", "bucket"])
     stars = with_pivot.where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
     signs = classes.select("rep", "sig")
@@ -252,11 +254,12 @@ def _links(source: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
     rest = with_pivot.where("rep <> pivot and size > 2").select("band", "bucket", "rep")
     rest = rest.join(comps, F.col("rep") == F.col("node"), "left").select("band", "bucket", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = rest.groupBy("band", "bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band", "bucket")
+    mixed = saved(mixed, "mixed")
     rest = saved(rest.join(mixed, ["band", "bucket"]), "rest")
     sets = _sets(rest.select(F.col("rep").alias("id")).distinct(), source, plan).withColumnRenamed("id", "rep")
     length = sets.select("rep", F.octet_length("shingles").alias("bytes"))
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
-    blocks = rest.join(length, "rep").groupBy("band", "bucket").agg(blocks)
+    blocks = saved(rest.join(length, "rep").groupBy("band", "bucket").agg(blocks), "blocks")
     rest = rest.join(blocks, ["band", "bucket"]).join(signs, "rep").join(sets, "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, own).alias("i"), F.greatest(j, own).alias("j"), F.when(own <= j, 0).otherwise(1).alias("side")))
