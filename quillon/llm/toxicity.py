@@ -141,6 +141,7 @@ def _predict(shared, names: list[str]) -> Callable:
                 hit = np.flatnonzero(slot >= 0)
                 pairs, count = np.unique(owner[hit] * n + table.values[0][slot[hit]], return_counts=True)
                 found = chain.predict(pairs // n, pairs % n, strength(count, totals[pairs // n]), hi - lo)
+                found[totals == 0] = 0.0
                 yield pa.RecordBatch.from_arrays([rows.column(0).slice(lo, hi - lo), *(pa.array(np.ascontiguousarray(c)) for c in found.T)], ["id", *names])
 
     return run
@@ -169,8 +170,8 @@ def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
 
     Models are fitted on a bounded sample of the labelled rows, about ``per_class`` with
     and as many without ``decide``'s label, drawn by a hash of the id. Rows with a null
-    label, id or text are not learnt from. Null or empty text has no words: the constant
-    decides. Without labelled rows nothing is toxic. Rows are predicted each, repeated
+    label, id or text are not learnt from. Null, empty and wordless texts have
+    probabilities of 0. Without labelled rows nothing is toxic. Rows are predicted each, repeated
     ones alike; ids may be null. An empty table gives no rows.
     """
     spark = docs.sparkSession
