@@ -17,8 +17,8 @@ _U = np.uint64
 BOUNDARY = 256
 BITS = _U(9)
 ORDER = 5
-#: The model that goes to every executor has so many contexts with a symbol at most: the longest
-#: order up to ORDER that fits is used. Order 1 always does, with 257 * 257.
+#: What goes to every executor has so many contexts with a symbol at most: all of them, or the
+#: most frequent ones, and then what is left to look up joins tables. Scores are the same.
 MODEL_GRAMS = 6_000_000
 #: Words whose counts are looked up while scoring: the most frequent ones, so that no frequent
 #: word is left to be a hot key of the join with all other counts.
@@ -239,18 +239,103 @@ class Model:
         return out
 
 
-_models: dict[int, Model] = {}
+class Head:
+    """Log probabilities of the most frequent grams of the longest order; others are not a number."""
 
+    def __init__(self, keys: np.ndarray, logs: np.ndarray):
+        self.grams = Table(keys, logs)
 
-def _model(shared) -> Model:
+    def log_probability(self, keys: np.ndarray) -> np.ndarray:
+        slot = self.grams.find(keys)
+        return np.where(slot >= 0, self.grams.values[0][slot], np.nan)
+
+
+_models: dict[int, Model | Head] = {}
+
+
+def _model(shared) -> Model | Head:
     """The model of a broadcast, built once in each worker."""
     found = shared.value
     if id(found) not in _models:
         _models.clear()
-        _models[id(found)] = Model(*found)
+        kind, *parts = found
+        _models[id(found)] = kind(*parts)
     return _models[id(found)]
 
 
+def _low(symbols: int) -> int:
+    """A mask of the last ``symbols`` symbols of a key."""
+    return (1 << int(BITS) * symbols) - 1
+
+
+def _tables(grams: DataFrame, order: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """By order, (key, n) of all grams and (context, total, kinds, escape, there, on) of all contexts: Model as tables.
+
+    A shorter gram has 257 longer ones at most, and a context 257 symbols, so no key of these joins and sums is hot.
+    """
+    levels = [grams]
+    for k in range(order, 0, -1):
+        shorter = levels[0].groupBy(F.col("key").bitwiseAND(_low(k)).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        levels.insert(0, saved(shorter, f"grams{k - 1}"))
+    contexts: list[DataFrame] = []
+    for k, level in enumerate(levels):
+        sums = [F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")]
+        own = F.shiftright("key", int(BITS)).alias("context")
+        escape = F.log10("kinds") - F.log10(2.0 * F.col("total"))
+        if k:
+            lower = levels[k - 1].select(F.col("key").alias("low"), F.col("n").alias("low_n"))
+            nodes = level.join(lower, F.col("key").bitwiseAND(_low(k)) == F.col("low")).groupBy(own).agg(*sums, F.sum("low_n").alias("same"))
+            below = contexts[k - 1].select(F.col("context").alias("low"), F.col("total").alias("low_total"), F.col("kinds").alias("low_kinds"))
+            nodes = nodes.join(F.broadcast(below) if k <= 2 else below, F.col("context").bitwiseAND(_low(k - 1)) == F.col("low"))
+            new = F.col("low_kinds") - F.col("kinds")
+            there = F.log10(2.0 * F.greatest(F.col("low_total") - F.col("same"), F.lit(1)))
+            on = F.when(new > 0, F.log10(F.greatest(new, F.lit(1))) - there).otherwise(0.0)
+        else:
+            nodes = level.groupBy(own).agg(*sums)
+            there, on = F.log10(F.greatest(257.0 - F.col("kinds"), F.lit(1.0))), F.lit(0.0)
+        nodes = nodes.select("context", "total", "kinds", escape.alias("escape"), there.alias("there"), on.alias("on"))
+        contexts.append(saved(nodes, f"contexts{k}"))
+    return levels, contexts
+
+
+def _alone(grams: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(key, n, alone): log10 of the probability of each gram with nothing excluded."""
+    total = contexts.select("context", "total")
+    return grams.join(total, F.shiftright("key", int(BITS)) == F.col("context")).select("key", "n", (F.log10(2.0 * F.col("n") - 1) - F.log10(2.0 * F.col("total"))).alias("alone"))
+
+
+def _joined(keys: DataFrame, alone: DataFrame, levels: list[DataFrame], contexts: list[DataFrame]) -> DataFrame:
+    """(key, log) of distinct keys of the longest order: Model.log_probability by joins."""
+    order = len(levels) - 1
+    first = saved(keys.join(alone.select("key", "alone"), "key", "left"), "looked")
+    rows = first.where("alone IS NULL").select("key", F.lit(None).cast("double").alias("log"), F.lit(0.0).alias("sofar"), F.lit(None).cast("double").alias("there"), F.lit(None).cast("double").alias("on"))
+    for k in range(order, -1, -1):
+        small = F.broadcast if k <= 1 else (lambda t: t)  # 257 * 257 rows at most; longer ones are shuffled
+        nodes = contexts[k].select("context", F.col("total").alias("own_total"), F.col("escape").alias("own_escape"), F.col("there").alias("own_there"), F.col("on").alias("own_on"))
+        rows = rows.join(small(nodes), F.shiftright(F.col("key").bitwiseAND(_low(k + 1)), int(BITS)) == F.col("context"), "left")
+        if k < order:
+            rows = rows.join(small(levels[k].select(F.col("key").alias("gram"), "n")), F.col("key").bitwiseAND(_low(k + 1)) == F.col("gram"), "left")
+            full = F.log10(2.0 * F.col("n") - 1)
+            hit = F.col("sofar") + full - F.coalesce("there", F.log10(2.0 * F.col("own_total")))
+            rows = rows.withColumn("log", F.coalesce("log", hit))
+        past = F.col("sofar") + F.coalesce("on", "own_escape", F.lit(0.0))
+        rows = rows.select("key", "log", past.alias("sofar"), F.col("own_there").alias("there"), F.col("own_on").alias("on"))
+    rest = rows.select("key", F.coalesce("log", F.col("sofar") - F.coalesce("there", F.lit(float(np.log10(257.0))))).alias("log"))
+    return first.where("alone IS NOT NULL").select("key", F.col("alone").alias("log")).unionByName(rest)
+
+
+def _most_frequent(grams: DataFrame, most: int) -> DataFrame:
+    """The grams of the highest counts, ``most`` at most; equal counts go together."""
+    band = F.floor(F.log2("n") * 16)
+    sizes = sorted(((r["band"], r["rows"]) for r in grams.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)
+    least, taken = sizes[0][0] + 1 if sizes else 0, 0
+    for at, rows in sizes:
+        if (taken := taken + rows) > most:
+            break
+        least = at
+    return grams.where(band >= least)
+
+
 def _score(shared, head, order: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, (head_keys, head_logs) = _model(shared), head.value
@@ -261,7 +346,14 @@ def _score(shared, head, order: int) -> Callable:
                 own, n = offsets[lo : hi + 1], hi - lo
                 words = find_words(data, own)
                 text = stream(data, own, words, order)
-                score = by_document(model.log_probability(grams(text.symbols, text.at, order)), text.first, np.add, 0)
+                coded = grams(text.symbols, text.at, order)
+                logs = model.log_probability(coded)
+                absent = np.flatnonzero(np.isnan(logs))
+                logs[absent] = 0.0
+                score = by_document(logs, text.first, np.add, 0)
+                deep = pa.array(np.searchsorted(absent, text.first).astype(np.int32))
+                deep_keys = pa.ListArray.from_arrays(deep, pa.array(coded[absent].view(np.int64)))
+                del coded, logs, absent
                 slot = known.find(words.hashes)
                 found = slot >= 0
                 base = by_document(np.where(found, known.values[0][slot], 0.0), words.first, np.add, 0)
@@ -269,8 +361,8 @@ def _score(shared, head, order: int) -> Callable:
                 tail = np.concatenate([[0], np.cumsum(~found)])[words.first]
                 tail_keys = pa.ListArray.from_arrays(pa.array(tail.astype(np.int32)), pa.array(words.hashes[~found].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(i).slice(lo, n) for i in (0, 2)), pa.array(np.diff(words.first) + 1), pa.array(n_found), pa.array(base), pa.array(score), tail_keys],
-                    ["id", "held_out", "n_tokens", "head_known", "head_base", "score", "tail"],
+                    [*(rows.column(i).slice(lo, n) for i in (0, 2)), pa.array(np.diff(words.first) + 1), pa.array(n_found), pa.array(base), pa.array(score), tail_keys, deep_keys],
+                    ["id", "held_out", "n_tokens", "head_known", "head_base", "score", "tail", "deep"],
                 )
 
     return run
@@ -288,6 +380,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, id_col: str = "
 
     Counts cover every training row. Those of the HEAD_WORDS most frequent words are
     looked up while scoring; other words of each document join all counts by a shuffle.
+    So do contexts if they are more than MODEL_GRAMS; ``order`` holds for any number of them.
 
     Null or empty text: the end alone. A null ``held_out`` counts as false. Without
     training rows the model is uniform and base_score is the end's, log10(0.5 / 0.5).
@@ -306,26 +399,35 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, id_col: str = "
     denominator = n + 0.5 * (v + 1)
 
     contexts = counts.where(F.col("kind") == _GRAM).select("key", "n")
-    used, size = order, totals.get(_GRAM, (0, 0))[0]
-    while size > MODEL_GRAMS and used > 1:
-        used -= 1
-        contexts = contexts.groupBy(F.col("key").bitwiseAND((1 << (9 * (used + 1))) - 1).alias("key")).agg(F.sum("n").alias("n"))
-        size = contexts.count()
-    found = contexts.toArrow()
-    keys, amounts = found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
-    by_key = np.argsort(keys)
-    model = spark.sparkContext.broadcast((keys[by_key], amounts[by_key], used))
+    joins = totals.get(_GRAM, (0, 0))[0] > MODEL_GRAMS
+    if joins:
+        levels, nodes = _tables(contexts, order)
+        alone = saved(_alone(contexts, nodes[order]), "alone")
+        found = _most_frequent(alone, MODEL_GRAMS).toArrow()
+        parts = Head, found["key"].to_numpy().view(np.uint64), found["alone"].to_numpy()
+    else:
+        found = contexts.toArrow()
+        keys, amounts = found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
+        by_key = np.argsort(keys)
+        parts = Model, keys[by_key], amounts[by_key], order
+    model = spark.sparkContext.broadcast(parts)
     top = words.orderBy(F.col("n").desc(), "key").limit(HEAD_WORDS).toArrow()
     head = spark.sparkContext.broadcast((top["key"].to_numpy().view(np.uint64), np.log10((top["n"].to_numpy() + 0.5) / denominator)))
 
-    schema = "id " + rows.schema["id"].dataType.simpleString() + ", held_out boolean, n_tokens long, head_known long, head_base double, score double, tail array<long>"
-    scored = rows.mapInArrow(_score(model, head, used), schema)
+    schema = "id " + rows.schema["id"].dataType.simpleString() + ", held_out boolean, n_tokens long, head_known long, head_base double, score double, tail array<long>, deep array<long>"
+    scored = rows.mapInArrow(_score(model, head, order), schema)
     scored = saved(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     tail = scored.select("row", F.explode("tail").alias("key")).join(words, "key", "left")
     c = F.coalesce("n", F.lit(0))
     tail = tail.groupBy("row").agg(F.sum(F.log10((c + 0.5) / F.lit(float(denominator)))).alias("tail_base"), F.sum((c > 0).cast("long")).alias("tail_known"))
     end = float(np.log10((train_docs + 0.5) / denominator))
-    out = scored.drop("tail").join(tail, "row", "left")
+    out = scored.drop("tail", "deep").join(tail, "row", "left")
+    log = F.col("score")
+    if joins:
+        deep = scored.select("row", F.explode("deep").alias("key"))
+        logs = _joined(deep.select("key").distinct(), alone, levels, nodes)
+        out = out.join(deep.join(logs, "key").groupBy("row").agg(F.sum("log").alias("deep_score")), "row", "left")
+        log += F.coalesce("deep_score", F.lit(0.0))
     return out.select(
         F.col("id").alias(id_col),
         "held_out",
@@ -333,5 +435,5 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, id_col: str = "
         (F.col("head_known") + F.coalesce("tail_known", F.lit(0)) + F.lit(int(train_docs > 0))).alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
         (F.col("head_base") + F.coalesce("tail_base", F.lit(0.0)) + F.lit(end)).alias("base_score"),
-        "score",
+        log.alias("score"),
     )

@@ -94,6 +94,20 @@ def test_model_falls_back_to_shorter_contexts(spark, monkeypatch):
     assert all(math.isfinite(r.score) for r in got)
 
 
+@pytest.mark.parametrize("most", [0, 20, 150])
+def test_scores_do_not_depend_on_what_fits_in_memory(spark, monkeypatch, most):
+    rng = random.Random(8)
+    rows = [(i, "".join(rng.choice("aab bcé d") for _ in range(rng.randrange(60)))) for i in range(60)] + [(100, None), (101, "XYZ zzz"), (102, "ab " * 500), (None, "abc")]
+    docs = frame(spark, rows).withColumn("row", F.monotonically_increasing_id())
+    held = F.col("row") % 3 == 1
+    whole = {r.row: r for r in ppm.score(docs, held, id_col="row").collect()}
+    monkeypatch.setattr(ppm, "MODEL_GRAMS", most)
+    part = {r.row: r for r in ppm.score(docs, held, id_col="row").collect()}
+    assert whole.keys() == part.keys() and len(part) == len(rows)
+    assert all(abs(whole[i].score - part[i].score) < 1e-4 * (1 - whole[i].score) for i in whole)
+    assert all(whole[i][:6] == part[i][:6] for i in whole)
+
+
 def test_toxicity_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
