@@ -29,13 +29,19 @@ NOTICES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
 ]
-KINDS = ("text", "paragraph", "line")
+KINDS = ("text", "paragraph", "line", "run")
+#: Words that turn one licence into another: a run of words has those of its template and no others.
+QUALIFIERS = set("affero alike commercial derivatives lesser library nc nd noderivatives noderivs noncommercial sa sharealike".split())
 #: Words that tell little; others are looked for first.
 COMMON = set("a an and any as at by copy file for free from in is it may met not of on or other that the this to use version with without you".split())
 
 
+def words_of(text: str) -> list[str]:
+    return re.sub(r"[^a-z0-9]+", " ", text.lower()).strip().split(" ")
+
+
 def bigrams(text: str) -> list[str]:
-    words = re.sub(r"[^a-z0-9]+", " ", text.lower()).strip().split(" ")
+    words = words_of(text)
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
@@ -65,6 +71,32 @@ def _normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
 
+def _runs(rows: DataFrame, listed: list[tuple[str, str]], least: float) -> DataFrame:
+    """(id, kind, i, m) of the runs of words that match a template."""
+    own = [(i, name, words_of(text), bigrams(text)) for i, (name, text) in enumerate(listed)]
+    own = [t for t in own if t[3]]
+    schema = "struct<dice: double, template: int, license: string>"
+    starts = sorted({b for t in own for b in t[3]})
+    longest = max((len(t[2]) for t in own), default=0)
+    rows = rows.select("id", F.split(_normal(F.col("text")), " ").alias("w")).where(F.size("w") > 1)
+    at = F.filter(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1)).isin(starts))
+    rows = rows.select("id", F.explode(F.transform(at, lambda i: F.struct(i.cast("long").alias("i"), F.slice("w", i + 1, longest).alias("r")))).alias("u")).select("id", "u.i", "u.r")
+    pairs = F.transform(F.sequence(F.lit(0), F.size("r") - 2), lambda i: F.concat_ws(" ", F.get("r", i), F.get("r", i + 1)))
+    rows = rows.select("id", "i", "r", pairs.alias("p"))
+    found = []
+    for i, name, words, b in own:
+        run, near = F.slice("r", 1, len(words)), F.array_distinct(F.slice("p", 1, len(words) - 1))
+        needed = sorted({w for w in words if w.isdigit() or w in QUALIFIERS})
+        others = sorted(QUALIFIERS - set(words))
+        dice = 2.0 * F.size(F.array_intersect(near, F.array(*map(F.lit, b)))) / (F.size(near) + len(b))
+        same = ~F.arrays_overlap(run, F.array(*map(F.lit, others)))
+        for w in needed:
+            same = same & F.array_contains(run, w)
+        found.append(F.struct(F.when(F.get("p", F.lit(0)).isin(b), F.when(same, dice)).alias("dice"), F.lit(i).alias("template"), F.lit(name).alias("license")))
+    near = F.filter(F.array(*found), lambda m: m["dice"] >= least) if found else F.array().cast(f"array<{schema}>")
+    return rows.select("id", F.lit(3).alias("kind"), "i", F.explode(near).alias("m"))
+
+
 def scan(docs: DataFrame, least: float = 0.8, notices: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, license, template, unit, number, dice): the best match of each licence in each document.
 
@@ -77,6 +109,12 @@ def scan(docs: DataFrame, least: float = 0.8, notices: list[tuple[str, str]] | N
     paragraph or line, ``number`` its place from 1. Ties: the smaller unit, the earlier one,
     the earlier template.
 
+    A notice beside other words, in a sentence or in lines with comment signs, is none of
+    these units. A licence without a match among them is looked for in all runs of words
+    of a template's length that begin with one of its bigrams (shorter at the text's end),
+    across lines. Such a run has the template's numbers and QUALIFIERS, and no
+    other QUALIFIERS. ``unit`` is then run, ``number`` the place of its first word.
+
     Units of a word or none, null and empty texts match nothing. Repeated rows (one id)
     give one match per licence; rows with a null id are taken together. An empty table
     gives no rows; other columns are ignored, whatever their names.
@@ -92,6 +130,7 @@ def scan(docs: DataFrame, least: float = 0.8, notices: list[tuple[str, str]] | N
         return F.transform(parts, lambda p, i: F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), p.alias("p")))
 
     each = F.concat(units(0, F.array("text")), units(1, F.split("text", r"\n[ \t\r]*\n")), units(2, F.split("text", "\n")))
+    runs = _runs(rows, listed, least)
     rows = rows.select("id", F.explode(each).alias("u")).select("id", "u.kind", "u.i", F.split(_normal(F.col("u.p")), " ").alias("w"))
     lowest = min((size_bounds(len(t[2]), least)[0] for t in own), default=0)
     rows = rows.where((F.size("w") > 1) & (F.size("w") > lowest))
@@ -105,8 +144,8 @@ def scan(docs: DataFrame, least: float = 0.8, notices: list[tuple[str, str]] | N
         dice = F.when(F.size("b").between(lo, hi), 2.0 * both / (F.size("b") + len(b)))
         found.append(F.struct(dice.alias("dice"), F.lit(i).alias("template"), F.lit(name).alias("license")))
     near = F.filter(F.array(*found), lambda m: m["dice"] >= least) if found else F.array().cast("array<struct<dice: double, template: int, license: string>>")
-    matches = rows.select("id", "kind", "i", F.explode(near).alias("m"))
-    best = F.max(F.struct("m.dice", "kind", (-F.col("i")).alias("early"), (-F.col("m.template")).alias("first"))).alias("x")
+    matches = rows.select("id", "kind", "i", F.explode(near).alias("m")).unionByName(runs)
+    best = F.max(F.struct((F.col("kind") < 3).alias("whole"), "m.dice", "kind", (-F.col("i")).alias("early"), (-F.col("m.template")).alias("first"))).alias("x")
     out = matches.groupBy("id", F.col("m.license").alias("license")).agg(best)
     unit = F.element_at(F.array(*map(F.lit, KINDS)), F.col("x.kind") + 1)
     return out.select(F.col("id").alias(id_col), "license", (-F.col("x.first")).alias("template"), unit.alias("unit"), (1 - F.col("x.early")).alias("number"), F.col("x.dice").alias("dice"))

@@ -198,6 +198,30 @@ def test_licenses(spark):
     assert not re.search("Python|Pandas|Arrow", plan.replace("ExistingRDD", ""))
 
 
+def test_licenses_beside_other_words(spark):
+    notice = [t for _, t in licenses.NOTICES]
+    block = "/*\n * Copyright 2020 Jane Doe\n *\n" + "".join(f" * {' '.join(notice[3].split()[k : k + 9])}\n" for k in range(0, 70, 9)) + " *\n" + " * The above notice shall be included in all copies or large parts of these files, and no one will be held to account.\n" * 3 + " * It comes as it is, with no warranty of any kind, and its authors answer for no claim that might arise out of it in any way.\n */\nint main;"
+    hashes = "#!/bin/sh\n# A tool by Jane\n#\n" + "".join(f"# {' '.join(notice[8].split()[k : k + 8])}\n" for k in range(0, 50, 8)) + "#\n" + "# some words on how to call this tool and what it writes to the screen\n" * 3
+    rows = [
+        (1, "Copyright 2020 Jane Doe. Licensed under the MIT License."),
+        (2, "word " * 3000 + "and so this page is " + notice[13] + " more words " * 500),
+        (3, block),
+        (4, hashes),
+        (5, "we heard that our little library is licensed under the GNU Lesser General Public License, version 3, for all who want it"),
+        (6, "a long story says that this work is licensed under the GNU General Public License, version 2, and nothing else at all"),
+        (7, "some say that this work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License and go on to tell of it"),
+        (8, "the licence of this is under the terms of nobody, licensed by the version of the software"),
+        (9, "long before that this was set Licensed under\nCC BY-SA 4.0. and more words came after it"),
+        (10, notice[0] + "\nand here it was Licensed under the MIT License. too"),
+        (11, "some words\nof text\n" + notice[6]),
+    ]
+    got = {(r.doc_id, r.license): (r.template, r.unit, r.number, r.dice) for r in licenses.scan(frame(spark, rows)).collect()}
+    assert got[1, "MIT"] == (1, "run", 5, 1.0) and got[2, "CC-BY-4.0"] == (13, "run", 3006, 1.0)
+    assert got[3, "MIT"][:2] == (3, "run") and got[4, "GPL-2.0"][:2] == (8, "run") and got[5, "LGPL-3.0"][:2] == (9, "run")
+    assert got[9, "CC-BY-SA-4.0"][1] == "run" and got[10, "MIT"][:3] == (0, "line", 1)
+    assert len(got) == 8 and got[11, "GPL-3.0"][1] == "line"
+
+
 BASE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
