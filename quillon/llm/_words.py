@@ -117,6 +117,22 @@ def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = S
     return Words(np.searchsorted(starts, ends_at), hashes, starts + base, ends + base, heads)
 
 
+def inner_windows(data: np.ndarray, offsets: np.ndarray, words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, index of its word) of each run of ``size`` bytes inside a word that does not begin it, A-Z lower-cased."""
+    base = int(offsets[0])
+    text = data[base : int(offsets[-1])]
+    more = np.maximum(words.ends - words.starts - size, 0)
+    at = np.repeat(np.arange(len(more)), more)
+    if not len(at):
+        return np.zeros(0, np.uint64), at
+    begin = (words.starts - base)[at] + 1 + np.arange(len(at)) - np.repeat(np.cumsum(more) - more, more)
+    up, down = powers(len(text) + 1)
+    total = np.empty(len(text) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(_BYTE_VALUE[text] * up[: len(text)], out=total[1:])
+    return mix((total[begin + size] - total[begin]) * down[begin] + _U(0x100 + size)), at
+
+
 def word_hash(word: bytes) -> int:
     """The hash that find_words gives this word."""
     data = np.frombuffer(word, np.uint8)

@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm._words import LOWER, NOT_ALNUM, buffers, by_document, find_words, mix, slices
+from quillon.llm._store import saved
+from quillon.llm._words import LOWER, NOT_ALNUM, buffers, by_document, find_words, slices
 
 _U = np.uint64
 #: Hash buckets of byte trigrams, and as many of words.
@@ -81,20 +82,31 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(names, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32()))], ["lang", "features", "weights"])
 
 
-def linear_svm(x: np.ndarray, rows: np.ndarray, y: np.ndarray, c: float = 1.0, epochs: int = 12, seed: int = 7) -> np.ndarray:
+class Sparse:
+    """Rows of a matrix: values of columns[first[r]:first[r + 1]] in row r."""
+
+    def __init__(self, first: np.ndarray, columns: np.ndarray, values: np.ndarray, width: int):
+        self.first, self.columns, self.values, self.width = first, columns, values, width
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return by_document(self.values * w[self.columns], self.first, np.add, 0)
+
+
+def linear_svm(x: Sparse, rows: np.ndarray, y: np.ndarray, c: float = 1.0, epochs: int = 12, seed: int = 7) -> np.ndarray:
     """Weights of an L2-loss linear SVM on some rows of x by dual coordinate descent; y is -1 or 1, classes weigh the same."""
     n = len(y)
     share = {s: n / (2.0 * max(1, int((y == s).sum()))) for s in (-1, 1)}
     shift = np.array([1 / (2 * c * share[int(s)]) for s in y])
-    norms = np.einsum("ij,ij->i", x, x)[rows] + shift
-    w, alpha, rng = np.zeros(x.shape[1]), np.zeros(n), np.random.default_rng(seed)
+    norms = by_document(x.values**2, x.first, np.add, 0)[rows] + shift
+    w, alpha, rng = np.zeros(x.width), np.zeros(n), np.random.default_rng(seed)
     for _ in range(epochs):
         for i in rng.permutation(n):
-            own = x[rows[i]]
-            g = y[i] * float(own @ w) - 1 + shift[i] * alpha[i]
+            own = slice(x.first[rows[i]], x.first[rows[i] + 1])
+            columns, values = x.columns[own], x.values[own]
+            g = y[i] * float(values @ w[columns]) - 1 + shift[i] * alpha[i]
             new = max(0.0, alpha[i] - g / norms[i])
             if new != alpha[i]:
-                w += ((new - alpha[i]) * y[i]) * own
+                w[columns] += ((new - alpha[i]) * y[i]) * values
                 alpha[i] = new
     return w
 
@@ -120,37 +132,44 @@ class Model:
         self.pairs = [("", a, b) for a, b in combinations(self.families, 2)]
         for f in self.families:
             self.pairs += [(f, a, b) for a, b in combinations(self.members[f], 2)]
-        self.weights = np.zeros((2 * BUCKETS, len(self.pairs)), np.float32)
+        #: The row of weights of each bucket; the first row, of zeros, is that of buckets not used.
+        self.row_of = np.zeros(2 * BUCKETS, np.int32)
+        self.weights = np.zeros((1, len(self.pairs)), np.float32)
         self.bias = np.zeros(len(self.pairs))
         self.slope = np.ones(len(self.pairs))
 
-    def fit(self, labels: list[str], features: list[np.ndarray], weights: list[np.ndarray]) -> Model:
-        df = np.bincount(np.concatenate(features), minlength=2 * BUCKETS)
-        used = np.argsort(-df, kind="stable")[: min(FEATURES, int((df > 0).sum()))]
-        column = np.full(2 * BUCKETS, -1)
-        column[used] = np.arange(len(used))
-        x = np.zeros((len(labels), len(used) + 1), np.float32)
-        for r, (f, v) in enumerate(zip(features, weights, strict=True)):
-            at = column[f]
-            x[r, at[at >= 0]] = v[at >= 0]
-        scale = (np.sqrt(np.einsum("ij,ij->j", x, x) / max(1, len(x))) + 1e-4).astype(np.float32)
-        x /= scale * np.float32(np.sqrt(len(used)))
-        x[:, -1] = 1.0
+    def fit(self, labels: list[str], used: np.ndarray, places: list[np.ndarray], shares: list[np.ndarray]) -> Model:
+        """used: buckets that are features; places and shares: for each row, which of them it has and how much of it they are."""
+        n = len(used)
+        sizes = np.array([len(p) for p in places])
+        first = np.concatenate([[0], np.cumsum(sizes + 1)])
+        # Each row's last value is 1, for the constant.
+        columns, values = np.full(int(first[-1]), n), np.ones(int(first[-1]))
+        inside = np.ones(len(columns), bool)
+        inside[first[1:] - 1] = False
+        columns[inside], values[inside] = np.concatenate(places), np.concatenate(shares)
+        scale = np.sqrt(np.bincount(columns, weights=values**2, minlength=n + 1) / max(1, len(labels))) + 1e-4
+        values /= scale[columns] * np.sqrt(n)
+        values[~inside] = 1.0
+        x = Sparse(first, columns, values, n + 1)
+        self.row_of[used] = np.arange(1, n + 1)
+        self.weights = np.zeros((n + 1, len(self.pairs)), np.float32)
         lang, family = np.array(labels), np.array([family_of(v) for v in labels])
         for k, (of, a, b) in enumerate(self.pairs):
             group = lang if of else family
             rows = np.flatnonzero((group == a) | (group == b))
             y = np.where(group[rows] == a, 1, -1)
             w = linear_svm(x, rows, y)
-            self.slope[k] = _sharpness((x @ w)[rows], y)
-            self.weights[used, k] = w[:-1] / (scale[:-1] * np.sqrt(len(used)))
+            self.slope[k] = _sharpness(x.times(w)[rows], y)
+            self.weights[1:, k] = w[:-1] / (scale[:-1] * np.sqrt(n))
             self.bias[k] = w[-1]
         return self
 
     def margins(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         bucket, inside = _trigrams(data, offsets)
         words = find_words(data, offsets, NOT_ALNUM)
-        at, word_at = offsets - offsets[0], _word_buckets(words.hashes) + BUCKETS
+        at, bucket = offsets - offsets[0], self.row_of[bucket]
+        word_at = self.row_of[_word_buckets(words.hashes) + BUCKETS]
         n_tri = np.maximum(1, by_document(inside.astype(np.int64), at, np.add, 0))
         n_word = np.maximum(1, np.diff(words.first))
         out = np.empty((len(offsets) - 1, len(self.pairs)))
@@ -209,27 +228,52 @@ def _predict(shared, text: str) -> Callable:
     return run
 
 
+def _select(shared) -> Callable:
+    """(lang, features, weights) with the places of the chosen features only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(2 * BUCKETS, -1, np.int32)
+        place[shared.value] = np.arange(len(shared.value), dtype=np.int32)
+        for rows in batches:
+            features, weights = [], []
+            for f, w in zip(rows.column(1), rows.column(2)):
+                own = place[np.asarray(f.values)]
+                features.append(own[own >= 0])
+                weights.append(np.asarray(w.values)[own >= 0])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(features, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32()))], rows.schema.names)
+
+    return run
+
+
 def train(labelled: DataFrame, per_language: int = 1000) -> Model:
     """Fit on a bounded sample of (id, text, lang): about ``per_language`` rows of each language.
 
     The sample is drawn by a hash of id and text, at the rate that each language's
     count asks for, so it is the same at every run and needs no sorting. Rows without
-    a language or text are not used.
+    a language or text are not used. Spark counts in how many sampled rows each bucket
+    occurs; the driver gets the FEATURES most frequent ones and the rows' shares of them.
     """
+    spark = labelled.sparkSession
     rows = labelled.where("lang is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     model = Model(sorted(counts))
     if len(counts) > 1:
         rate = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, per_language / n))])
         drawn = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < rate[F.col("lang")] * 1_000_000
-        sample = rows.where(drawn).select("lang", "text").mapInArrow(_featurise, "lang string, features array<int>, weights array<float>").toArrow()
+        kind = "lang string, features array<int>, weights array<float>"
+        drawn = saved(rows.where(drawn).select("lang", "text").mapInArrow(_featurise, kind), "language-features")
+        often = drawn.select(F.explode("features").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+        used = np.sort(often.orderBy(F.col("n").desc(), "bucket").limit(FEATURES).toArrow()["bucket"].to_numpy())
+        shared = spark.sparkContext.broadcast(used)
+        sample = drawn.mapInArrow(_select(shared), kind).toArrow()
+        shared.unpersist()
         features, weights = ([np.asarray(v.values) for v in sample[c].combine_chunks()] for c in ("features", "weights"))
         labels = sample["lang"].to_pylist()
         order = sorted(range(len(features)), key=lambda i: (labels[i], zlib.crc32(weights[i].tobytes(), zlib.crc32(features[i].tobytes()))))
         present = sorted(set(labels))
         model = Model(present)
         if len(present) > 1:
-            model.fit([labels[i] for i in order], [features[i] for i in order], [weights[i] for i in order])
+            model.fit([labels[i] for i in order], used, [features[i] for i in order], [weights[i] for i in order])
     return model
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quillon.llm._store import saved
 from quillon.llm._words import buffers
-from quillon.llm.toxicity import logistic, probability
+from quillon.llm.toxicity import Rows, logistic, probability
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("format", "checksum", "gazetteer", "context", "border")
@@ -182,8 +182,8 @@ def accepted(patterns: list[tuple[int, int, int]], threshold: float = 0.9) -> li
         share = np.sqrt(n / n.sum() * len(n))[:, None]
         # Soft labels: each pattern stands for both truths, by its posterior.
         rows = np.repeat(np.arange(len(n)), np.maximum(1, np.round(20 * share[:, 0])).astype(int))
-        w = logistic(x[rows] * 1.0, p[rows], 0.5)
-        out += [(kind, code) for (code, _), q in zip(own, probability(x * 1.0, w), strict=True) if q >= threshold]
+        w = logistic(Rows.of(x[rows] * 1.0), p[rows], 0.5, 400, 1e-6)
+        out += [(kind, code) for (code, _), q in zip(own, probability(Rows.of(x * 1.0), w), strict=True) if q >= threshold]
     return out
 
 

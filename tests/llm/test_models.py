@@ -88,6 +88,14 @@ def test_lm_score_beats_words_on_held_out_text(spark):
     assert got[0] > got[1]
 
 
+def test_lm_score_beside_words_on_a_small_corpus(spark):
+    """With few training texts the model is worse than word counts (by 17 % at sf0.001, as the README says)."""
+    from quillon.llm.queries import op1_lm_score
+
+    got = op1_lm_score(spark, "/root/testdata/sf0.001").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert 1.2 * got[1] < got[0] < got[1]
+
+
 def test_model_falls_back_to_shorter_contexts(spark, monkeypatch):
     monkeypatch.setattr(ppm, "MODEL_GRAMS", 20)
     got = ppm.score(frame(spark, [(1, "some words to learn from"), (2, "other ones")]), F.lit(False)).collect()
@@ -131,8 +139,70 @@ def test_chain_uses_out_of_fold_probabilities():
     rng = np.random.default_rng(0)
     words = [np.unique(rng.integers(0, 30, 8)).astype(np.int32) for _ in range(200)]
     y = np.array([[float(3 in w), float(3 in w and 4 in w)] for w in words])
-    chain = toxicity.Chain(["a", "b"]).fit(words, [np.ones(len(w), int) for w in words], np.array([8] * 200), y, np.arange(200) % 5)
-    assert [len(w) for w in chain.weights] == [len(chain.words) + 1, len(chain.words) + 2]
+    chain = toxicity.Chain(["a", "b"]).fit(np.arange(30), sparse(words, 30), y, np.arange(200) % 5)
+    assert [len(w) for w in chain.weights] == [len(chain.features) + 1, len(chain.features) + 2]
+
+
+def sparse(words, columns):
+    """Rows in which each of these words stands once in eight."""
+    owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    return toxicity.Rows(owner, np.concatenate(words).astype(np.int64), toxicity.strength(np.ones(len(owner)), np.full(len(owner), 8)), len(words), columns)
+
+
+def brute_logistic(x, y, penalty):
+    """Newton's method on a dense matrix whose last column is the constant."""
+    w, keep = np.zeros(x.shape[1]), np.full(x.shape[1], penalty)
+    keep[-1] = 1e-3
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + np.diag(keep), x.T @ (p - y) + keep * w)
+    return w
+
+
+def test_chain_against_brute_force(monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_ASSOCIATION", -1.0)
+    rng = np.random.default_rng(5)
+    words = [np.unique(rng.integers(0, 12, 6)).astype(np.int32) for _ in range(150)]
+    y = np.array([[float(3 in w) if rng.random() < 0.9 else 1.0, float(3 in w or 4 in w)] for w in words])
+    folds = np.arange(150) % 5
+    x, value = np.zeros((150, 13)), float(toxicity.strength(np.ones(1), np.full(1, 8))[0])
+    for r, w in enumerate(words):
+        x[r, w] = value
+    x[:, -1] = 1.0
+    unseen = np.zeros(150)
+    for f in range(5):
+        unseen[folds == f] = 1 / (1 + np.exp(-x[folds == f] @ brute_logistic(x[folds != f], y[folds != f, 0], 0.05)))
+    both = np.hstack([x[:, :-1], unseen[:, None], x[:, -1:]])
+    expected = brute_logistic(x, y[:, 0], 0.05), brute_logistic(both, y[:, 1], 0.05)
+    exact = toxicity.logistic
+    monkeypatch.setattr(toxicity, "logistic", lambda r, z: exact(r, z, steps=20000, tolerance=1e-9))
+    chain = toxicity.Chain(["a", "b"]).fit(np.arange(12), sparse(words, 12), y, folds)
+    for mine, brute in zip(chain.weights, expected):
+        assert np.abs(mine - brute).max() < 1e-3
+    feature = np.concatenate(words).astype(np.int64)
+    got = chain.predict(np.repeat(np.arange(150), [len(w) for w in words]), feature, np.full(len(feature), value), 150)
+    first = 1 / (1 + np.exp(-x @ expected[0]))
+    second = 1 / (1 + np.exp(-np.hstack([x[:, :-1], first[:, None], x[:, -1:]]) @ expected[1]))
+    assert np.abs(got - np.stack([first, second], 1)).max() < 1e-3
+
+
+def test_toxicity_learns_every_language(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    got = toxicity.classify(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), labels.where("doc_id % 3 <> 0"), toxicity.default_categories(), "toxic")
+    held = labels.where("doc_id % 3 = 0").select("doc_id", F.col("toxic").alias("truth")).join(got, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    assert (held[held.truth == 1].groupby("lang").toxic.mean() > 0.85).all() and held[held.truth == 0].toxic.mean() < 0.005
+
+
+def test_toxicity_finds_altered_words_and_counts_repeated_labels_once(spark):
+    rng = random.Random(3)
+    plain = ["river", "mountain", "forest", "window", "garden", "letter", "summer", "winter"]
+    rows = [(i, " ".join(rng.choice(plain) for _ in range(12)) + (" zurkelblat" if i % 4 == 0 else "")) for i in range(400)]
+    rows += [(1000, "river xzurkelblaten forest"), (1001, "river forest " * 30000 + "zurkelblat " * 400), (1002, "river forest garden")]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)] + [(1, 0)] * 50 + [(4, 0)] * 20, "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.classify(frame(spark, rows), labels, toxicity.default_categories(), "toxic").collect()}
+    assert got[1000].toxic and got[1001].toxic and not got[1002].toxic and got[4].toxic
+    assert len(got) == len(rows) and all(0 <= r.p_dense <= 1 and 0 <= r.p_varied <= 1 for r in got.values())
 
 
 def brute_pages(rows):
