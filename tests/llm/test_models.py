@@ -175,7 +175,7 @@ def test_chain_against_brute_force(monkeypatch):
     both = np.hstack([x[:, :-1], unseen[:, None], x[:, -1:]])
     expected = brute_logistic(x, y[:, 0], 0.05), brute_logistic(both, y[:, 1], 0.05)
     exact = toxicity.logistic
-    monkeypatch.setattr(toxicity, "logistic", lambda r, z: exact(r, z, steps=20000, tolerance=1e-9))
+    monkeypatch.setattr(toxicity, "logistic", lambda r, z: exact(r, z, steps=60000, tolerance=1e-13))
     chain = toxicity.Chain(["a", "b"]).fit(np.arange(12), sparse(words, 12), y, folds)
     for mine, brute in zip(chain.weights, expected):
         assert np.abs(mine - brute).max() < 1e-3
