@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,10 +51,27 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-
-
 #: Up to so many ids (8 bytes each) are sent to every executor; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Rows of one file that row numbers leave room for.
+_FILE_ROWS = 1 << 40
+
+
+def numbered(docs: DataFrame, row_col: str) -> DataFrame:
+    """``docs`` with a long in ``row_col`` that differs by row and is the same at every read.
+
+    Rows of files are numbered by file and place in it; the list of files, which Spark
+    plans with in the driver anyway, is sent out. Other frames are written once first.
+    """
+    spark = docs.sparkSession
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("file_"), F.col("_metadata.row_index").alias("index_"))
+        files = [r[0] for r in placed.select("file_").distinct().collect()]
+    except AnalysisException:
+        return saved(docs.withColumn(row_col, F.monotonically_increasing_id()), "numbered")
+    names = spark.createDataFrame(list(enumerate(sorted(files))), "no_ long, file_ string")
+    out = placed.join(F.broadcast(names), "file_", "left")
+    return out.select(*docs.columns, (F.col("no_") * F.lit(_FILE_ROWS) + F.col("index_")).alias(row_col))
 
 
 def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:

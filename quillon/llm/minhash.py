@@ -91,8 +91,8 @@ def _sign(plan: Plan) -> Callable:
             for lo, hi, first, values in _batches(rows, plan.words):
                 sums = [by_document(mix(values ^ _U(salt)), first, np.add, 0).view(np.int64) for salt in (0x243F6A8885A308D3, 0x13198A2E03707344)]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(sums[0]), pa.array(sums[1]), _binary(signatures(values, first, plan.hashes))],
-                    ["id", "n", "f1", "f2", "sig"],
+                    [rows.column(0).slice(lo, hi - lo), rows.column(2).slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(sums[0]), pa.array(sums[1]), _binary(signatures(values, first, plan.hashes))],
+                    ["id", "name", "n", "f1", "f2", "sig"],
                 )
 
     return run
@@ -161,7 +161,7 @@ def _verify(plan: Plan) -> Callable:
 
 
 def _compare_blocks(plan: Plan) -> Callable:
-    """Links that join components within one block pair of a bucket; each is confirmed on full sets.
+    """Pairs of components that links within one block pair of a bucket join; each link is confirmed on full sets.
 
     A pair that shares several bands is taken up in the first of them only. Pairs of a
     component, also of one that the block's links have made, need no comparison, so a
@@ -170,7 +170,8 @@ def _compare_blocks(plan: Plan) -> Callable:
 
     def run(block: pa.Table) -> pa.Table:
         ids, sides = block["rep"].to_numpy(), block["side"].to_numpy()
-        comps, bands = np.unique(block["comp"].to_numpy(), return_inverse=True)[1], block["band"].to_numpy()
+        names, bands = block["comp"].to_numpy(), block["band"].to_numpy()
+        comps = np.unique(names, return_inverse=True)[1]
         sigs = _matrix(block["sig"].combine_chunks(), plan.hashes)
         sets = [np.frombuffer(x, np.uint64) for x in block["shingles"].to_pylist()]
         sizes = np.fromiter(map(len, sets), np.int64, len(sets))
@@ -194,47 +195,70 @@ def _compare_blocks(plan: Plan) -> Callable:
                     continue
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if plan.share_den * both >= plan.share_num * (sizes[i] + sizes[j] - both):
-                    out_a.append(min(ids[i], ids[j]))
-                    out_b.append(max(ids[i], ids[j]))
+                    out_a.append(min(names[i], names[j]))
+                    out_b.append(max(names[i], names[j]))
                     comps[comps == comps[j]] = comps[i]
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
     return run
 
 
-def near_duplicates(docs: DataFrame, share_num: int = 4, share_den: int = 5, words: int = 5, rows: int = 4, miss: float = 1e-6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, share_num: int = 4, share_den: int = 5, words: int = 5, rows: int = 4, miss: float = 1e-6, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row per input row.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; a document's
-    set is its distinct shingles of ``words`` words (fewer words: the whole sequence).
+    set is its distinct shingles of ``words`` words (fewer words: the whole sequence),
+    held as 52-bit hashes of them, on which links are confirmed.
     Documents link when share_den * |A n B| >= share_num * |A u B|, confirmed on full
     sets; component_id is the smallest id reachable, kept is doc_id = component_id.
 
     Equal sets are one class. Classes that share a band are compared to the bucket's
     most connected class first; then, where a bucket still holds several components,
-    across these, block by block, and only the links found leave a block. Only ``miss`` of the pairs at the threshold may go unseen.
+    across these, block by block, and only the components that links join leave a
+    block. Only ``miss`` of the pairs at the threshold may go unseen.
 
     Null or empty text: an empty set, linked with nothing. Rows with a null id keep
     their n_shingles, have a null component_id unless an equal set has an id, and
-    are kept unless it has. Rows that share an id count as one document.
-    Ties: the smallest id. An empty table gives no rows; other columns are ignored.
+    are kept unless it has. Rows that share an id count as one document. With
+    ``row_col``, a number that differs by row, rows are told apart by it instead: one
+    row of each component is kept, that of the smallest id (null ids last), then of the
+    smallest number, and the number is returned too. Ties: the smallest id. An empty
+    table gives no rows; other columns are ignored.
     """
     plan = plan_for(share_num, share_den, words, rows, miss=miss)
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = saved(source.mapInArrow(_sign(plan), "id long, n long, f1 long, f2 long, sig binary"), "signatures")
+    source = docs.select(F.col(row_col or id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("name"))
+    signed = saved(source.mapInArrow(_sign(plan), "id long, name long, n long, f1 long, f2 long, sig binary"), "signatures")
+    source = source.drop("name")
     key = ["n", "f1", "f2"]
     classes = saved(signed.where("n > 0").groupBy(*key).agg(F.min("id").alias("rep"), F.max("sig").alias("sig")).where("rep is not null"), "classes")
 
-    edges = _links(source, classes, plan)
-    comps = connected_components(edges)
+    comps = _components(source, classes, plan)
     labelled = classes.select(*key, "rep").join(comps, F.col("rep") == F.col("node"), "left").select(*key, F.coalesce("component", "rep").alias("comp"))
-    out = signed.select("id", *key).join(labelled, key, "left")
-    component = F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
-
-
-def _links(source: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
-    """Links (a, b) between class representatives that connect whatever is linked."""
+    out = signed.select("id", "name", *key).join(labelled, key, "left")
+    component = F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("id")).alias("component")
+    out = out.select("id", "name", F.col("n").alias("n_shingles"), component)
+    if not row_col:
+        return out.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+    out = saved(out, "members")
+    first = F.min(F.struct(F.col("name").isNull().alias("no_name"), "name", "id")).alias("first")
+    firsts = saved(out.groupBy("component").agg(first).select("component", F.col("first.name").alias("component_id"), F.col("first.id").alias("keep")), "firsts")
+    out = out.join(firsts, "component")
+    return out.select(F.col("name").alias(id_col), F.col("id").alias(row_col), "n_shingles", "component_id", (F.col("id") == F.col("keep")).alias("kept"))
+
+
+def _components(source: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
+    """(node, component) of the class representatives that are linked with others."""
+    comps, links = _links(source, classes, plan)
+    if links.isEmpty():
+        return comps
+    # What blocks have found joins components: those are merged among themselves.
+    merged = saved(connected_components(links).select(F.col("node").alias("old"), F.col("component").alias("new")), "merged")
+    out = comps.join(merged, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component"))
+    return out.unionByName(merged.select(F.col("old").alias("node"), F.col("new").alias("component")).join(comps, "node", "left_anti"))
+
+
+def _links(source: DataFrame, classes: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """Components (node, component) of links to the buckets' pivots, and pairs (a, b) of components that other links join."""
     bands = F.transform(F.sequence(F.lit(0), F.lit(plan.bands - 1)), lambda i: F.struct(i.cast("int").alias("band"), F.xxhash64(i, F.substring(F.col("sig"), i * (4 * plan.rows) + 1, 4 * plan.rows)).alias("bucket")))
     members = classes.select("rep", F.explode(bands).alias("at")).select("rep", "at.*")
     # Sums by bucket are written before members join them: a very large bucket's members are then a
@@ -250,7 +274,7 @@ def _links(source: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
     signs = classes.select("rep", "sig")
     edges = _confirm(_pruned(stars, signs, plan), source, plan)
 
-    comps = connected_components(edges)
+    comps = saved(connected_components(edges), "components")
     rest = with_pivot.where("rep <> pivot and size > 2").select("band", "bucket", "rep")
     rest = rest.join(comps, F.col("rep") == F.col("node"), "left").select("band", "bucket", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = rest.groupBy("band", "bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band", "bucket")
@@ -265,7 +289,7 @@ def _links(source: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
     tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, own).alias("i"), F.greatest(j, own).alias("j"), F.when(own <= j, 0).otherwise(1).alias("side")))
     rest = rest.select("band", "bucket", "rep", "comp", "sig", "shingles", F.explode(tiles).alias("t")).select("band", "bucket", "rep", "comp", "sig", "shingles", "t.*")
     more = rest.groupBy("band", "bucket", "i", "j").applyInArrow(_compare_blocks(plan), "a long, b long").distinct()
-    return edges.unionAll(saved(more, "links"))
+    return comps, saved(more, "links")
 
 
 def _pruned(pairs: DataFrame, signs: DataFrame, plan: Plan) -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from quillon.llm import exact_dedup
 from quillon.llm._words import NOT_ALNUM, SPACE, buffers, find_words, slices, word_hash
 from quillon.llm.decontamination import contaminated, tiles
 from quillon.llm.exact_dedup import exact_duplicates
@@ -260,3 +261,60 @@ def test_language_edges(spark):
     assert identify(docs.limit(0), F.lit(True)).count() == 0
     model = Model(["de", "en", "es", "fr"])
     assert model.families == ["germanic", "romance"] and family_of("tlh") == "tlh" and len(model.pairs) == 3
+
+
+def test_row_numbers_tell_repeated_rows_apart(spark):
+    from quillon.llm._store import numbered, saved
+
+    rows = [(1, "a b c"), (1, "a b c"), (2, "a  b c"), (None, "a b c"), (1, "other words"), (None, None), (None, "")]
+    docs = saved(frame(spark, rows).repartition(3), "rows")
+    both = numbered(docs, "row").collect()
+    assert len({r.row for r in both}) == len(rows) and sorted(map(str, both)) == sorted(map(str, numbered(docs, "row").collect()))
+    assert len({r.row for r in numbered(frame(spark, rows), "row").collect()}) == len(rows)
+    got = exact_dedup.exact_duplicates(numbered(docs, "row"), row_col="row").collect()
+    assert sorted((r.keep_id is None, r.keep_id, r.group_size) for r in got if r.kept) == [(False, 1, 1), (False, 2, 4), (True, None, 2)]
+    near = near_duplicates(numbered(docs, "row"), row_col="row").collect()
+    assert sum(r.kept for r in near) == 4 and {r.component_id for r in near if r.kept} == {1, None} and len(near) == len(rows)
+
+
+def test_exact_dedup_beyond_what_is_broadcast(spark, monkeypatch):
+    rng = random.Random(12)
+    docs = frame(spark, [(i, " " * rng.randrange(3) + "x" * rng.randrange(4) + str(rng.randrange(8))) for i in range(200)] + [(500, None), (501, "")])
+    for everything in (False, True):
+        small = sorted(map(tuple, exact_dedup.exact_duplicates(docs, digest_all=everything).collect()), key=str)
+        with monkeypatch.context() as m:
+            m.setattr(exact_dedup, "BROADCAST_KEYS", 0)
+            assert sorted(map(tuple, exact_dedup.exact_duplicates(docs, digest_all=everything).collect()), key=str) == small
+
+
+def test_pipeline_edges(spark, tmp_path):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, id string, row string"
+    words = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    rows = [(i, words(i), "en" if i % 3 else None) for i in range(30)]
+    rows += [(3, words(3), "en"), (3, words(3), "en"), (3, words(500), "en"), (None, words(4), None), (None, words(600), None), (70, None, "en"), (71, "", "en"), (72, "1234 5678", "en"), (73, words(700) + " tail", "en"), (74, words(700), "en")]
+    docs = spark.createDataFrame([(i, t, lang, "s", 1, 0.5, "x", "y") for i, t, lang in rows], schema)
+    folder = str(tmp_path / "sf")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, words(600)), (2, "too short")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    got, seen = spark.read.parquet(f"{folder}/documents.parquet"), []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        got = stage(spark, got, folder)
+        if k < 4:
+            assert got.columns == docs.columns
+            got.write.parquet(f"{folder}/{k}")
+            got = spark.read.parquet(f"{folder}/{k}")
+            seen.append(sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in got.collect()))
+    expected = sorted([(False, i, words(i)) for i in range(30)] + [(False, 3, words(500)), (True, 0, words(600)), (False, 73, words(700) + " tail"), (False, 74, words(700))])
+    assert len(seen[0]) == len(rows) - 3 and seen[1] == expected
+    expected.remove((False, 74, words(700)))
+    assert seen[2] == expected
+    expected.remove((True, 0, words(600)))
+    assert seen[3] == expected
+    assert sorted(r.doc_id for r in got.where("piece = 0").collect()) == sorted(i for _, i, _ in expected)
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_id(spark, unlabelled, folder).count() == len(rows) - 3
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, folder).count() == 0
