@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillon.store import ranged
+
 KEYS = ("doc_id", "source_path", "path")
 
 
@@ -105,7 +107,7 @@ def coverage_at_error(pairs: DataFrame, targets: tuple[float, ...] = (0.01, 0.05
     spark = pairs.sparkSession
     if not total:
         return spark.createDataFrame([], "target double, coverage double, threshold double")
-    answers = rows.where("not abstained").select("confidence", "ord", "ok").repartitionByRange(F.col("confidence").desc(), F.col("ord")).withColumn("range", F.spark_partition_id())
+    answers = ranged(rows.where("not abstained").select("confidence", "ord", "ok"), F.col("confidence").desc(), F.col("ord"))
     before = {r["range"]: (r["n"], r["right"]) for r in answers.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("right")).collect()}
     offsets, n, right = [], 0, 0
     for k in sorted(before):

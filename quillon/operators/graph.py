@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.config import Config, load
@@ -60,28 +58,32 @@ def role_pairs(fields: DataFrame, config: Config | None = None) -> DataFrame:
 def match_roles(pairs: DataFrame, margin: int = 60) -> DataFrame:
     """(doc_id, role, org, name, distance): nearest pairs first, a role and an organisation once each.
 
-    A pair whose organisation another role claims less than ``margin`` further on is
-    refused, and the organisation is spent. Greedy within a document, whose few pairs
-    are one row.
+    A pair is clear if no other role comes within ``margin`` further of its organisation
+    after it. That is known before any choice: the next pair of another role is the first
+    one after the pair's own streak of one role in the organisation's order. Choosing is
+    then a fold over a document's pairs, whose few are one row: each pair of an organisation
+    not met in a turn before, and of a role not given yet, takes the turn of its
+    organisation, and the role too if it is clear.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for docs in batches:
-            out = []
-            for doc, rows in zip(docs["doc_id"], docs["pairs"]):
-                spent, given = set(), set()
-                for i, r in enumerate(rows):
-                    if r["org"] in spent or r["role"] in given:
-                        continue
-                    spent.add(r["org"])
-                    rival = next((x["distance"] for x in rows[i + 1 :] if x["role"] != r["role"] and x["org"] == r["org"]), None)
-                    if rival is None or rival - r["distance"] >= margin:
-                        given.add(r["role"])
-                        out.append((doc, r["role"], r["org"], r["name"], r["distance"]))
-            yield pd.DataFrame(out, columns=["doc_id", "role", "org", "name", "distance"])
-
-    packed = pairs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("distance", "role", "role_start", "org", "name"))).alias("pairs"))
-    return packed.mapInPandas(run, "doc_id string, role string, org string, name string, distance int")
+    order = ["distance", "role", "role_start", "org", "name"]
+    own = W.partitionBy("doc_id", "org").orderBy(*order)
+    streak = F.sum(F.when(F.col("role") == F.lag("role").over(own), 0).otherwise(1)).over(own.rowsBetween(W.unboundedPreceding, 0))
+    rows = pairs.withColumn("streak", streak)
+    # The distance at which the organisation's next streak begins.
+    begins = F.min("distance").over(W.partitionBy("doc_id", "org").orderBy("streak").rangeBetween(1, 1))
+    clear = F.coalesce(begins - F.col("distance") >= margin, F.lit(True)).alias("clear")
+    packed = rows.select("doc_id", F.struct(*order, clear).alias("p")).groupBy("doc_id").agg(F.array_sort(F.collect_list("p")).alias("pairs"))
+    kind = packed.schema["pairs"].dataType.simpleString()
+    start = F.struct(F.array().cast("array<string>").alias("orgs"), F.array().cast("array<string>").alias("roles"), F.array().cast(kind).alias("given"))
+
+    def turn(state: Column, p: Column) -> Column:
+        passed = F.array_contains(state["orgs"], p["org"]) | F.array_contains(state["roles"], p["role"])
+        won = F.when(p["clear"], F.array(p)).otherwise(F.array().cast(kind))
+        after = F.struct(F.array_append(state["orgs"], p["org"]).alias("orgs"), F.concat(state["roles"], F.transform(won, lambda x: x["role"])).alias("roles"), F.concat(state["given"], won).alias("given"))
+        return F.when(passed, state).otherwise(after)
+
+    chosen = packed.select("doc_id", F.explode(F.aggregate("pairs", start, turn)["given"]).alias("g"))
+    return chosen.select("doc_id", "g.role", "g.org", "g.name", F.col("g.distance").cast("int").alias("distance"))
 
 
 def accounts(fields: DataFrame, qualifier: str = "ifsc") -> DataFrame:
@@ -118,10 +120,10 @@ def duplicates(records: DataFrame, config: Config | None = None) -> DataFrame:
 
 
 def duplicate_edges(records: DataFrame, config: Config | None = None) -> DataFrame:
-    """(src, dst, key): the pairs of each group, the smaller id first."""
-    keys = duplicate_keys(records, config)
-    a, b = keys.select(F.col("doc_id").alias("src"), "key"), keys.select(F.col("doc_id").alias("dst"), "key")
-    return a.join(b, "key").where("src < dst").select("src", "dst", F.array_join("key", " | ").alias("key")).distinct()
+    """(src, dst, key): each document of a group and the first one, by id; a group of n gives n - 1 rows, not all pairs."""
+    keys = duplicate_keys(records, config).distinct()
+    first = keys.groupBy("key").agg(F.min("doc_id").alias("src"))
+    return keys.join(first, "key").where("src < doc_id").select("src", F.col("doc_id").alias("dst"), F.array_join("key", " | ").alias("key"))
 
 
 def nodes(records: DataFrame, config: Config | None = None) -> DataFrame:

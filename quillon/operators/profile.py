@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillon.store import ranged
+
 
 def counts(records: DataFrame, columns: list[str]) -> DataFrame:
     """(what, value, n): how often each value of several columns occurs, in one aggregation."""
@@ -21,7 +23,7 @@ def distribution(rows: DataFrame, value: str) -> DataFrame:
     from pyspark.sql import Window as W
 
     spark = rows.sparkSession
-    bins = rows.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c")).repartitionByRange("v").withColumn("range", F.spark_partition_id())
+    bins = ranged(rows.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c")), F.col("v"))
     sizes = sorted((r["range"], r["n"]) for r in bins.groupBy("range").agg(F.sum("c").alias("n")).collect())
     offsets, total = [], 0
     for k, n in sizes:

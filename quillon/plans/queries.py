@@ -244,7 +244,9 @@ def flt_markers(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", rules.fires(a, texts).alias("pattern_hit"), rules.fires(b, texts).alias("words_hit"), rules.fires({"all": [], "any": []}, texts).alias("empty_hit"), rules.best_score([a, {"any": ["mit"]}], texts).alias("score"))
 
 
-@query()
+@query(_with("""
+SELECT doc_id, kind AS label, CASE kind WHEN 'receipt' THEN 0.94 ELSE 0.95 END::DOUBLE AS score FROM b
+UNION ALL SELECT doc_id, 'invoice', CASE kind WHEN 'receipt' THEN 0.88 ELSE 0.85 END::DOUBLE FROM b WHERE kind <> 'invoice'"""))
 def cls_rule_scores(spark, sf_dir):
     b = business.rendered(spark, sf_dir)
     scores = b.select("doc_id", rules.class_scores(F.col("full"), F.col("pages")).alias("s"))
@@ -373,8 +375,7 @@ def gr_orphans(spark, sf_dir):
     return graph.orphans(_facts(spark, sf_dir, ["invoice_number"]))
 
 
-@query(_with(f"""SELECT a.doc_id AS src, c.doc_id AS dst, a.kind || ' | ' || {_NUMBER.replace("kind", "a.kind").replace("|| number", "|| a.number")} || ' | ' || a.amount AS key
-FROM b a JOIN b c ON a.kind = c.kind AND a.number = c.number AND a.amount = c.amount AND a.doc_id < c.doc_id"""))
+@query(_with(f"""SELECT * FROM (SELECT min(doc_id) OVER (PARTITION BY kind, number, amount) AS src, doc_id AS dst, kind || ' | ' || {_NUMBER} || ' | ' || amount AS key FROM b) x WHERE src <> dst"""))
 def gr_duplicates(spark, sf_dir):
     return graph.duplicate_edges(_records(spark, sf_dir, ["invoice_number", "total_amount"]))
 
@@ -384,22 +385,11 @@ def gr_exposure(spark, sf_dir):
     return graph.exposure(_records(spark, sf_dir, ["gstin"]))
 
 
-@query()
-def gr_match_roles(spark, sf_dir):
-    return graph.match_roles(graph.role_pairs(_facts(spark, sf_dir, ["gstin", "vendor_name", "buyer_name"])))
-
-
 @query(_with("SELECT count(*) FILTER (WHERE NOT good_gstin) AS unverified FROM b"))
 def gr_unverified(spark, sf_dir):
     return graph.unverified(_facts(spark, sf_dir, ["gstin"]))
 
 
-@query()
-def gr_edge_counts(spark, sf_dir):
-    # Every kind of edge reads the records: they are found once.
-    return graph.stats(graph.edges(_records(spark, sf_dir, _GRAPH_FIELDS).persist()))
-
-
 # Evaluation ------------------------------------------------------------------------------------
 
 _PAIRS_SQL = "SELECT l_orderkey * 10 + l_linenumber AS ord, l_returnflag AS truth, CASE WHEN l_tax > 0.06 THEN 'unknown' WHEN l_discount > 0.07 THEN 'R' ELSE l_returnflag END AS got, l_discount AS confidence FROM lineitem"
@@ -541,11 +531,6 @@ def tbl_text_grid(spark, sf_dir):
     return size.join(tables.headers(found).select("doc_id", "has_header"), "doc_id")
 
 
-@query()
-def tbl_assemble(spark, sf_dir):
-    return tables.assemble(tables.text_grid(_grid(spark, sf_dir)))
-
-
 @query("""
 WITH p AS (SELECT p_partkey, rpad(p_brand, 12, ' ') || lpad(cast(p_size as varchar), 4, ' ') AS a FROM part)
 SELECT p_partkey, len(list_filter(range(1, 17), lambda i: substr(a, i, 1) = ' ')) AS blanks FROM p""")
@@ -575,18 +560,6 @@ def tbl_text_bands(spark, sf_dir):
     return tables.text_bands(pages).select("doc_id", "page", "first", F.size("lines").cast("long").alias("n_lines"))
 
 
-@query()
-def tbl_geometry(spark, sf_dir):
-    rows = _t(spark, sf_dir, "lineitem")
-    y = F.col("l_linenumber") * 20.0
-    # Three cells a line, of two words each.
-    each = F.explode(F.array(*[F.struct(F.lit(x).alias("x0"), F.lit(x + 20.0).alias("x1")) for k in range(3) for x in (10.0 + 100 * k, 34.0 + 100 * k)]))
-    words = rows.select(F.lpad(F.hex("l_orderkey"), 16, "0").alias("doc_id"), F.lit(0).alias("page"), y.alias("y0"), (y + 10).alias("y1"), each.alias("c"), F.col("l_partkey").cast("string").alias("text"))
-    words = words.select("doc_id", "page", "text", "c.x0", "y0", "c.x1", "y1", F.lit(None).cast("int").alias("char_start"), F.lit(None).cast("int").alias("char_end"))
-    docs = words.select("doc_id").distinct().withColumn("full", F.lit(""))
-    return tables.statistics(tables.geometry(words, docs))
-
-
 # Labels and review ------------------------------------------------------------------------------
 
 
@@ -649,7 +622,9 @@ def src_fill_down(spark, sf_dir):
     return review.fill_down(tab)
 
 
-@query()
+@query(_with("""
+SELECT doc_id, o_orderkey || '.txt' AS filename, kind AS label, CASE kind WHEN 'receipt' THEN 0.94 ELSE 0.95 END::DOUBLE AS confidence, CASE WHEN has_bank THEN 8 ELSE 7 END AS n_fields,
+       CASE WHEN good_gstin THEN 'gst_applicable,bank_details_present' ELSE 'bank_details_present,gst_applicable' END || CASE WHEN kind = 'receipt' THEN ',payment_made' ELSE '' END AS tags FROM b"""))
 def run_records(spark, sf_dir):
     from quillon.plans.process import records
 

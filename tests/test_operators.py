@@ -154,11 +154,11 @@ def test_geometry_finds_and_refuses(spark):
     assert all(r.refused for r in tables.geometry(boxes(spark, drift), docs(spark, "")).collect())
 
 
-def test_space_and_segments(spark):
-    words = spark.createDataFrame([("d", 0, 0, f"w{i}", x, 0.0, x + 10, 5.0) for i, x in enumerate([0.0, 14.0, 60.0, 74.0])], "doc_id string, page int, line int, text string, x0 double, y0 double, x1 double, y1 double")
-    space = tables.space_width(words)
-    assert space.first().space == 4.0
-    assert sorted(r.text for r in tables.segment_cells(words, space).collect()) == ["w0 w1", "w2 w3"]
+def test_space_and_segments():
+    words = [{"text": f"w{i}", "x0": x, "y0": 0.0, "x1": x + 10, "y1": 5.0} for i, x in enumerate([0.0, 14.0, 60.0, 74.0])]
+    page = tables.Page(words, load().settings["tables"])
+    assert page.space == 4.0
+    assert [" ".join(w["text"] for w in part) for part in (page.words[:2], page.words[2:])] == ["w0 w1", "w2 w3"] and page.first.tolist() == [0, 2]
 
 
 def test_attach_boxes_across_buckets(spark):
