@@ -32,13 +32,8 @@ def window_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(total[inside]), inside
 
 
-def shingle_sets(words: Words, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """(first, values): each document's distinct shingles, sorted, in values[first[d]:first[d + 1]].
-
-    A document of one to k - 1 words has one shingle, its whole sequence; one
-    without words has none. At most 4,096 documents at a time.
-    """
-    docs = len(words.first) - 1
+def windows(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each window of ``k`` words, and its document; a document of one to k - 1 words has its whole sequence instead."""
     counts = np.diff(words.first)
     hashes, at = window_hashes(words, k)
     owner = np.searchsorted(words.first, at, "right") - 1
@@ -47,9 +42,19 @@ def shingle_sets(words: Words, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
         m = multipliers(k)
         whole = np.array([int((words.hashes[words.first[d] : words.first[d + 1]] * m[: counts[d]]).sum() + _U(counts[d])) for d in short], np.uint64)
         hashes, owner = np.concatenate([hashes, mix(whole)]), np.concatenate([owner, short])
+    return hashes, owner
+
+
+def shingle_sets(words: Words, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(first, values): each document's distinct shingles, sorted, in values[first[d]:first[d + 1]].
+
+    A document of one to k - 1 words has one shingle, its whole sequence; one
+    without words has none. At most 4,096 documents at a time.
+    """
+    hashes, owner = windows(words, k)
     keys = (owner.astype(np.uint64) << BITS) | (hashes >> _U(12))
     keys.sort()
     if len(keys):
         keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
-    first = np.searchsorted(keys, np.arange(docs + 1, dtype=np.uint64) << BITS)
+    first = np.searchsorted(keys, np.arange(len(words.first), dtype=np.uint64) << BITS)
     return first, keys & _MASK

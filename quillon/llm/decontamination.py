@@ -10,37 +10,96 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm._shingles import window_hashes
+from quillon.llm._shingles import windows
 from quillon.llm._store import BROADCAST_IDS, saved
 from quillon.llm._words import NOT_ALNUM, buffers, find_words, powers, slices
 
 _U = np.uint64
-#: Up to so many distinct seeds of the benchmark (8 bytes each) go to every executor to drop
-#: other windows before the join; with more, all windows of the documents are joined.
+#: Up to so many pairs of an item and a seed of it (32 bytes each) go to every executor, where
+#: documents are compared with items; with more, the documents' windows are joined by a shuffle.
 BROADCAST_SEEDS = 4_000_000
+#: Pairs of a document's seed and an item that are counted at a time; a document of more stands alone.
+_PAIRS = 4_000_000
 
 
-def _seeds(length: int, known) -> Callable:
-    """(id, seed): each row's distinct windows of ``length`` words, those in ``known`` if given."""
+def _item_seeds(length: int) -> Callable:
+    """(item_id, text) to (item_id, seed, times, words): each item's distinct seeds, how often it has them, and its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = known.value if known is not None else None
         for rows in batches:
             data, offsets = buffers(rows.column(1))
             for lo, hi in slices(offsets):
                 words = find_words(data, offsets[lo : hi + 1], NOT_ALNUM)
-                hashes, at = window_hashes(words, length)
-                if wanted is not None:
-                    if not len(wanted):
-                        continue
-                    spot = np.searchsorted(wanted, hashes)
-                    spot[spot == len(wanted)] = 0
-                    hit = wanted[spot] == hashes
-                    hashes, at = hashes[hit], at[hit]
-                if len(hashes):
-                    owner = lo + np.searchsorted(words.first, at, "right") - 1
-                    pair = np.unique(np.rec.fromarrays([owner, hashes.view(np.int64)]))
-                    yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(pair.f0)), pa.array(np.ascontiguousarray(pair.f1))], ["id", "seed"])
+                hashes, owner = windows(words, length)
+                pair, times = np.unique(np.rec.fromarrays([owner, hashes.view(np.int64)]), return_counts=True)
+                counts = np.diff(words.first)[pair.f0]
+                yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(lo + pair.f0)), pa.array(np.ascontiguousarray(pair.f1)), pa.array(times.astype(np.int64)), pa.array(counts.astype(np.int64))], ["item_id", "seed", "times", "words"])
+
+    return run
+
+
+def _seeds(length: int) -> Callable:
+    """(id, text) to (id, seed): each row's distinct seeds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            data, offsets = buffers(rows.column(1))
+            for lo, hi in slices(offsets):
+                hashes, owner = windows(find_words(data, offsets[lo : hi + 1], NOT_ALNUM), length)
+                pair = np.unique(np.rec.fromarrays([owner, hashes.view(np.int64)]))
+                yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(lo + pair.f0)), pa.array(np.ascontiguousarray(pair.f1))], ["id", "seed"])
+
+    return run
+
+
+class Seeds:
+    """Items by seed: those of seed k are item[first[k]:first[k + 1]], with how often they have it, and their words."""
+
+    def __init__(self, table: pa.Table):
+        order = np.argsort(table["seed"].to_numpy().view(np.uint64), kind="stable")
+        seed = table["seed"].to_numpy().view(np.uint64)[order]
+        begins = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]])) if len(seed) else np.zeros(0, np.int64)
+        self.seeds, self.first = seed[begins], np.append(begins, len(seed))
+        self.ids, self.item = np.unique(table["item_id"].to_numpy()[order], return_inverse=True)
+        self.times, self.words = table["times"].to_numpy()[order], table["words"].to_numpy()[order]
+
+    def candidates(self, hashes: np.ndarray, owner: np.ndarray, length: int, coverage: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(document, item) index arrays: pairs whose shared seeds could cover enough of the item's words."""
+        if not len(self.seeds) or not len(hashes):
+            return
+        spot = np.searchsorted(self.seeds, hashes)
+        spot[spot == len(self.seeds)] = 0
+        hit = self.seeds[spot] == hashes
+        both = np.unique(owner[hit] * len(self.seeds) + spot[hit])
+        document, seed = both // len(self.seeds), both % len(self.seeds)
+        sizes = self.first[seed + 1] - self.first[seed]
+        ends = np.append(np.flatnonzero(document[1:] != document[:-1]) + 1, len(document))
+        total, lo = np.concatenate([[0], np.cumsum(sizes)]), 0
+        while lo < len(document):
+            hi = int(ends[max(np.searchsorted(ends, lo, "right"), np.searchsorted(total[ends], total[lo] + _PAIRS, "right") - 1)])
+            own = sizes[lo:hi]
+            at = np.repeat(self.first[seed[lo:hi]] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+            pair, which = np.unique(np.repeat(document[lo:hi], own) * len(self.ids) + self.item[at], return_inverse=True)
+            covered = np.bincount(which, weights=self.times[at]) * length
+            words = np.full(len(pair), np.inf)
+            np.minimum.at(words, which, self.words[at])
+            pair = pair[covered >= coverage * words]
+            yield pair // len(self.ids), pair % len(self.ids)
+            lo = hi
+
+
+def _candidates(shared, length: int, coverage: float) -> Callable:
+    """(id, text) to (id, item_id): candidates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for rows in batches:
+            data, offsets = buffers(rows.column(1))
+            for lo, hi in slices(offsets):
+                hashes, owner = windows(find_words(data, offsets[lo : hi + 1], NOT_ALNUM), length)
+                for document, item in known.candidates(hashes, owner, length, coverage):
+                    if len(document):
+                        yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(lo + document)), pa.array(known.ids[item])], ["id", "item_id"])
 
     return run
 
@@ -107,18 +166,23 @@ def _mark(pattern, text, free_p, free_t, size, found) -> None:
 
 
 def _tile(least: int) -> Callable:
-    """From (id, text, item_id, item) to (id, item_id, item_words, covered_words, tiles, longest)."""
+    """From (id, text, items) to (id, item_id, item_words, covered_words, tiles, longest), a row per item of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            texts, items = buffers(rows.column(1)), buffers(rows.column(3))
-            out: list[list[int]] = [[], [], [], []]
+            data, offsets = buffers(rows.column(1))
+            out: list[list[int]] = [[], [], [], [], [], []]
             for r in range(rows.num_rows):
-                text, item = (find_words(data, at[r : r + 2], NOT_ALNUM).hashes for data, at in (texts, items))
-                got = tiles(item, text, least)
-                for column, value in zip(out, (len(item), sum(n for _, _, n in got), len(got), max((n for _, _, n in got), default=0)), strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), *(pa.array(x, pa.int64()) for x in out)], ["id", "item_id", "item_words", "covered_words", "tiles", "longest"])
+                text = find_words(data, offsets[r : r + 2], NOT_ALNUM).hashes
+                items = rows.column(2)[r].values
+                texts, at = buffers(items.field("item"))
+                for k, item_id in enumerate(items.field("item_id").to_pylist()):
+                    item = find_words(texts, at[k : k + 2], NOT_ALNUM).hashes
+                    # An item of fewer words than a tile has is a candidate of texts that are nothing else.
+                    got = tiles(item, text, min(least, max(1, len(item))))
+                    for column, value in zip(out, (r, item_id, len(item), sum(n for _, _, n in got), len(got), max((n for _, _, n in got), default=0)), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(out[0], pa.int64())), *(pa.array(x, pa.int64()) for x in out[1:])], ["id", "item_id", "item_words", "covered_words", "tiles", "longest"])
 
     return run
 
@@ -127,30 +191,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage
     """(doc_id, item_id, item_words, covered_words, tiles, longest, coverage): the pairs found.
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased.
-    Documents and items that share a seed, a window of ``least`` words, are tiled; a
-    pair is returned if its tiles cover at least ``coverage`` of the item's words, in
-    whatever order the document has them.
-
-    Items with fewer than ``least`` words are no evidence and never found. Null texts
-    count as empty; rows with a null id, on either side, are not reported. Repeated
-    rows give one pair, that of the best covered text. Empty tables give no rows;
-    other columns are ignored, whatever their names.
+    Documents and items that share seeds, windows of ``least`` words, are tiled if those
+    seeds could cover enough of the item, each as many words as it has; a pair is returned
+    if its tiles cover at least ``coverage`` of the item's words, in whatever order the
+    document has them. Seeds of the benchmark go to the documents, so a phrase that very
+    many of both share is counted within each document and makes no rows of its own. Each
+    text is tiled with all of its items, as one row.
+
+    An item with fewer than ``least`` words is found in documents that are that sequence of
+    words and no other. Null texts count as empty; rows with a null id, on either side, are
+    not reported. Repeated rows give one pair, that of the best covered text; of equal ones
+    that of the longest tile. Empty tables give no rows; other columns are ignored, whatever
+    their names.
     """
     spark = docs.sparkSession
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     items = benchmark.where(F.col(item_id_col).isNotNull()).select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("item"))
-    item_seeds = saved(items.mapInArrow(_seeds(least, None), "item_id long, seed long").distinct(), "item-seeds")
-    distinct = item_seeds.select("seed").distinct()
-    known = None
-    if distinct.count() <= BROADCAST_SEEDS:
-        values = np.array([r[0] for r in distinct.collect()], np.int64).view(np.uint64)
-        known = spark.sparkContext.broadcast(np.sort(values))
-    seeds = source.mapInArrow(_seeds(least, known), "id long, seed long")
-    pairs = saved(seeds.join(item_seeds, "seed").select("id", "item_id").distinct(), "seeded")
+    item_seeds = items.mapInArrow(_item_seeds(least), "item_id long, seed long, times long, words long")
+    item_seeds = saved(item_seeds.groupBy("item_id", "seed").agg(F.sum("times").alias("times"), F.min("words").alias("words")), "item-seeds")
+    if item_seeds.count() <= BROADCAST_SEEDS:
+        known = spark.sparkContext.broadcast(Seeds(item_seeds.toArrow()))
+        pairs = source.mapInArrow(_candidates(known, least, coverage), "id long, item_id long").distinct()
+    else:
+        shared = source.mapInArrow(_seeds(least), "id long, seed long").join(item_seeds, "seed")
+        bound = shared.groupBy("id", "item_id").agg(F.sum("times").alias("times"), F.min("words").alias("words"))
+        pairs = bound.where(F.col("times") * least >= F.col("words") * coverage).select("id", "item_id")
+    pairs = saved(pairs, "seeded")
     ids = pairs.select("id").distinct()
     few = ids.count() <= BROADCAST_IDS
     texts = saved(source.join(F.broadcast(ids) if few else ids, "id", "left_semi"), "candidates")
-    rows = texts.join(pairs, "id").join(items, "item_id").select("id", "text", "item_id", "item")
+    own = pairs.join(items, "item_id").groupBy("id").agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
+    rows = texts.join(own, "id").select("id", "text", "items")
     scored = rows.mapInArrow(_tile(least), "id long, item_id long, item_words long, covered_words long, tiles long, longest long")
     scored = scored.withColumn("coverage", F.col("covered_words") / F.col("item_words")).where(F.col("coverage") >= coverage)
     best = F.max(F.struct("coverage", "longest", "item_words", "covered_words", "tiles")).alias("b")

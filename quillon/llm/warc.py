@@ -101,7 +101,8 @@ def write(pages: DataFrame, folder: str, least: int = LEAST_REVISIT, date: str =
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     narrow = saved(rows.where((F.octet_length("html") >= least) & F.col("page_id").isNotNull()).select("page_id", "digest"), "payloads")
-    firsts = narrow.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # A written table is shuffled for the join by itself, so the rows of a payload that very many pages share can be split over tasks.
+    firsts = saved(narrow.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "firsts")
     revisits = saved(narrow.join(firsts, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct(), "revisits")
     if revisits.count() <= BROADCAST_IDS // 4:
         revisits = F.broadcast(revisits)
@@ -126,14 +127,11 @@ class _Window:
     """Bytes of a file from any position on, read in chunks and kept while needed."""
 
     def __init__(self, source, size: int, start: int):
-        self.source, self.size, self.start, self.data = source, size, start, b""
+        self.source, self.size, self.start, self.data = source, size, start, bytearray()
 
     def drop(self, to: int) -> None:
         """Forget what lies before position ``to``."""
-        if to - self.start <= len(self.data):
-            self.data = self.data[to - self.start :]
-        else:
-            self.data = b""
+        del self.data[: to - self.start]
         self.start = to
 
     def more(self) -> bool:
@@ -151,10 +149,10 @@ def _inflate(window: _Window, at: int) -> tuple[bytes, int] | None:
     The first bytes that come out must begin a WARC header, so a chance magic number
     costs a few bytes, not a whole file.
     """
-    z, out, pos, seen = zlib.decompressobj(31), [], at, 0
+    z, out, pos, seen, step = zlib.decompressobj(31), [], at, 0, 1 << 14
     try:
         while not z.eof:
-            part = window.data[pos - window.start :]
+            part = bytes(window.data[pos - window.start : pos - window.start + step])
             if not part:
                 if not window.more():
                     return None
@@ -162,6 +160,7 @@ def _inflate(window: _Window, at: int) -> tuple[bytes, int] | None:
             out.append(z.decompress(part))
             seen += len(out[-1])
             pos += len(part)
+            step = min(2 * step, _CHUNK)
             if seen >= 5 and not b"".join(out[:3])[:5] == b"WARC/":
                 return None
         return b"".join(out), pos - len(z.unused_data)
@@ -238,6 +237,8 @@ def read(archives: DataFrame, with_payload: bool = False) -> DataFrame:
     (file, offset, record_type, page_id, url, refers_to, payload_bytes, payload_digest,
     stated_digest): bytes and digest are of the payload as read, null for records without
     one. Null or empty files give no rows; members that are no whole record are passed over.
+    A file that is named twice is read twice. Only file and size are used of ``archives``,
+    whatever other columns it has.
     """
     spark: SparkSession = archives.sparkSession
     ranges = archives.where("size > 0").select("file", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(RANGE_BYTES))).alias("start"))
@@ -250,11 +251,14 @@ def read(archives: DataFrame, with_payload: bool = False) -> DataFrame:
 def resolved(records: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to), a revisit's payload being that of the record it refers to.
 
-    Several responses with one page_id: the revisit takes the one whose digest it states.
+    Several responses with one page_id: the revisit takes the one whose digest it states, and
+    repeated ones have equal bytes. A revisit whose response is not there has null bytes and
+    digest. Records are returned each, repeated ones too; other columns are ignored.
     """
     records = saved(records.select("page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "stated_digest"), "records")
     own = records.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     targets = own.groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("stated_digest")).agg(F.max("payload_bytes").alias("payload_bytes"))
+    targets = saved(targets, "targets")  # for the same reason as in write
     again = records.where("record_type = 'revisit'").select("page_id", "refers_to", "stated_digest", "record_type")
     again = again.join(targets, ["refers_to", "stated_digest"], "left").select("page_id", "payload_bytes", F.when(F.col("payload_bytes").isNotNull(), F.col("stated_digest")).alias("payload_digest"), "record_type", "refers_to")
     return own.unionAll(again)

@@ -319,3 +319,40 @@ def test_pipeline_edges(spark, tmp_path):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).count() == 0
+
+
+def test_decontamination_beyond_what_is_broadcast(spark, monkeypatch):
+    from quillon.llm import decontamination
+
+    rng = random.Random(9)
+    phrase = "a very common phrase of six words"
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(12)) + " " + phrase) for k in range(30)] + [(100, phrase), (101, "yes no"), (102, None), (103, " ".join(["ba"] * 20)), (104, phrase), (None, phrase)]
+    docs = [(d, " ".join(f"x{rng.randrange(900)}" for _ in range(30)) + " " + phrase) for d in range(90)]
+    docs += [(200, "start " + " ".join(f"i3w{j}" for j in (6, 7, 8, 9, 10, 11, 0, 1, 2, 3, 4, 5))), (201, "Yes, no!"), (202, "yes no maybe"), (203, "ba " * 40000), (204, None), (205, ""), (None, phrase), (206, items[5][1]), (206, items[5][1]), (207, items[6][1] + " and more")]
+    benchmark = spark.createDataFrame([(i, t, "z", 1) for i, t in items], "item_id long, text string, id string, seed int")
+    found = contaminated(frame(spark, docs), benchmark).collect()
+    got = sorted((r.doc_id, r.item_id, r.item_words, r.covered_words, r.tiles, r.longest) for r in found)
+    assert {(d, i) for d, i, *_ in got if d < 200} == {(d, i) for d in range(90) for i in (100, 104)}
+    assert {(d, i) for d, i, *_ in got if d >= 200} == {(200, 3), (201, 101), (203, 103), (206, 5), (206, 100), (206, 104), (207, 6), (207, 100), (207, 104)}
+    assert (200, 3, 19, 12, 2, 6) in got
+    monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", 0)
+    assert sorted((r.doc_id, r.item_id, r.item_words, r.covered_words, r.tiles, r.longest) for r in contaminated(frame(spark, docs), benchmark).collect()) == got
+    monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", 10**6)
+    monkeypatch.setattr(decontamination, "_PAIRS", 1)
+    assert len(contaminated(frame(spark, docs), benchmark).collect()) == len(got)
+
+
+def test_warc_of_a_hot_payload_and_a_large_one(spark, monkeypatch):
+    from quillon.llm import warc
+    from quillon.llm._store import fresh_path
+
+    monkeypatch.setattr(warc, "FILE_BYTES", 200_000)
+    noise = random.Random(3).randbytes(1_500_000).hex()
+    hot = "<p>not found</p>" * 20
+    rows = [(i, "u", hot, 1, "x") for i in range(900)] + [(2000, "u", noise, 1, "x"), (2001, "v", noise, 1, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int, refers_to string")
+    archives = warc.write(pages, fresh_path(spark, "warc"))
+    got = {r.page_id: r for r in warc.resolved(warc.read(archives)).collect()}
+    assert len(got) == len(rows) and archives.count() > 4
+    assert all(got[i].refers_to == 0 and got[i].payload_bytes == len(hot) for i in range(1, 900)) and got[0].record_type == "response"
+    assert got[2001].refers_to == 2000 and got[2000].payload_bytes == 3_000_000 and got[2001].payload_digest == hashlib.sha256(noise.encode()).hexdigest()
