@@ -46,7 +46,9 @@ def parsed_date(value: Column, dayfirst: bool = True) -> Column:
     """ISO; day and month by slash or dash, two-digit years from 1970 to 2069, the other
     order where this one is impossible; and days with English month names on either side."""
     v = squeezed(F.translate(value, ",", " "))
-    part = lambda pattern, i: F.regexp_extract(v, pattern, i)
+    # Every form has three parts with one separator between, so they are split once, whichever form it is.
+    parts = F.split(v, "[ /-]")
+    part = lambda _, i: F.get(parts, i - 1)
     iso, numbers = r"^(\d{4})-(\d{1,2})-(\d{1,2})$", r"^(\d{1,2})[/-](\d{1,2})[/-](\d{2,4})$"
     named, american = r"^(\d{1,2}) ([A-Za-z]{3,9}) (\d{4})$", r"^([A-Za-z]{3,9}) (\d{1,2}) (\d{4})$"
     short = part(numbers, 3)

@@ -71,13 +71,12 @@ def pan(value: Column, holders: str = PAN_HOLDERS) -> Column:
 
 def gstin_digit(head: Column) -> Column:
     """The check character of the first 14 of a GSTIN."""
-
-    def step(total: Column, i: Column) -> Column:
-        product = F.when(i % 2 == 0, 2).otherwise(1) * (F.instr(F.lit(_BASE36), F.substr(head, i, F.lit(1))) - 1)
-        return total + (F.floor(product / 36) + product % 36).cast("long")
-
-    total = F.aggregate(F.sequence(F.lit(1), F.lit(14)), F.lit(0).cast("long"), step)
-    return F.substr(F.lit(_BASE36), ((36 - total % 36) % 36 + 1).cast("int"), F.lit(1))
+    total = F.lit(0)
+    for i in range(1, 15):
+        value = F.instr(F.lit(_BASE36), F.substring(head, i, 1)) - 1
+        # The digits, to base 36, of the value once or twice: twice it has two from 18 on.
+        total += value if i % 2 else 2 * value - F.when(value >= 18, 35).otherwise(0)
+    return F.substr(F.lit(_BASE36), (36 - total % 36) % 36 + 1, F.lit(1))
 
 
 def gstin(value: Column) -> Column:

@@ -1,5 +1,9 @@
 """Rules, fields, graph, tables, evaluation and review on small inputs."""
 
+import random
+import re
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,3 +268,79 @@ def test_words_and_offsets(spark):
     assert r.text == "Hello big\nworld" and all(r.text[w.char_start : w.char_end] == w.text for w in r.words)
     got = spark.range(1).select(sources.map_words(F.lit("a b a c"), F.array(*map(F.lit, ["a", "a", "b", "z"]))).alias("m")).first().m
     assert [(w.start, w.end) for w in got] == [(0, 1), (4, 5), (2, 3), (None, None)]
+
+
+def test_running_shares_and_percentiles_on_millions_of_rows(spark):
+    """The same exact answer each time, though ranges are sampled."""
+    n = 3_000_000
+    rows = spark.range(n).select(F.col("id").alias("ord"), F.lit("a").alias("truth"), F.when(F.pmod(F.xxhash64("id"), F.lit(1000)) < F.col("id") / n * 200, "b").otherwise("a").alias("got"), (1 - F.col("id") / n).alias("confidence"))
+    right = rows.select((F.col("got") == "a").cast("int").alias("k"), "ord").toPandas().sort_values("ord").k.to_numpy().cumsum()
+    error = 1 - right / np.arange(1, n + 1)
+    for _ in range(2):
+        got = {r.target: r.coverage for r in evaluate.coverage_at_error(rows, (0.02, 0.05, 0.5)).collect()}
+        assert got == {t: round((np.flatnonzero(error <= t).max() + 1) / n, 4) for t in (0.02, 0.05, 0.5)} and 0 < got[0.02] < got[0.05] < 1 == got[0.5]
+        half = profile.distribution(spark.range(n).select((F.col("id") * 7919 % n).alias("v")), "v").first()
+        assert (half.n, half.min, half.p50, half.p90, half.max) == (n, 0, n // 2, int(0.9 * n), n - 1)
+
+
+def brute_tables(lines, first, least_rows=2, least_cols=2, least_cells=6, gap=2, share=0.75):
+    """Every run of lines is split at columns of blanks; the best run, then both sides of it."""
+
+    def grid(part):
+        width = max(map(len, part))
+        blank = "".join("b" if all(x.ljust(width)[j] == " " for x in part) else "f" for j in range(width))
+        spans = [m.span() for m in re.finditer(rf"f(?:b{{0,{gap - 1}}}f)*", blank)]
+        cells = [[x[a:b] for a, b in spans if x[a:b].strip()] for x in part]
+        good = len(spans) >= least_cols and sum(map(len, cells)) >= least_cells and sum(len(c) > 1 for c in cells) / len(part) >= share
+        return (len(spans), [[c.strip() for c in row] for row in cells]) if good else None
+
+    runs = [(-g[0], i - j, i, j, g[1]) for i in range(len(lines)) for j in range(i + least_rows, len(lines) + 1) if (g := grid(lines[i:j]))]
+    if not runs:
+        return []
+    _, _, i, j, cells = min(runs)
+    return [*brute_tables(lines[:i], first), (first + i, first + j, cells), *brute_tables(lines[j:], first + j)]
+
+
+def test_grids_against_brute_force():
+    rng = random.Random(11)
+    options = load().settings["tables"]
+    for _ in range(150):
+        lines = []
+        for _ in range(rng.randrange(2, 9)):
+            columns = rng.choice([(0, 9, 18), (0, 12), (0, 9, 18, 26), (0,)])
+            line = ""
+            for c in columns:
+                line = line.ljust(c) + rng.choice(["ab", "a b", "abcdef", "12345678", "x", "wide words here"])
+            lines.append(line + rng.choice(["", "  "]))
+        band = tables.Band(lines, options)
+        got = []
+        for lo, hi, columns, refused in band.tables():
+            if not refused:
+                rows = [[] for _ in range(lo, hi)]
+                for k, _, s, e in band.cells(lo, hi, columns):
+                    rows[k - lo].append(lines[k][s:e])
+                got.append((lo, hi, rows))
+        assert got == brute_tables(lines, 0), lines
+
+
+def test_roles_against_brute_force(spark):
+    rng = random.Random(4)
+    rows = [(f"d{d}", f"r{rng.randrange(3)}", f"n{k}", rng.randrange(400), f"o{rng.randrange(3)}", rng.randrange(0, 300, 7)) for d in range(200) for k in range(rng.randrange(1, 8))]
+
+    def brute(pairs):
+        pairs, out = sorted(pairs), {}
+        while pairs:  # the nearest pair takes its turn; what it rules out goes
+            distance, role, _, org, name = pairs[0]
+            others = [p[0] for p in pairs_all if p > pairs[0] and p[3] == org and p[1] != role]
+            won = not others or min(others) - distance >= 60
+            if won:
+                out[role] = (org, name, distance)
+            pairs = [p for p in pairs if p[3] != org and not (won and p[1] == role)]
+        return out
+
+    expected = set()
+    for doc in {r[0] for r in rows}:
+        pairs_all = [(r[5], r[1], r[3], r[4], r[2]) for r in rows if r[0] == doc]
+        expected |= {(doc, role, *v) for role, v in brute(pairs_all).items()}
+    got = graph.match_roles(spark.createDataFrame(rows, "doc_id string, role string, name string, role_start int, org string, distance int"))
+    assert {(r.doc_id, r.role, r.org, r.name, r.distance) for r in got.collect()} == expected
