@@ -51,6 +51,16 @@ def _print(lines: list[str], path: str | None) -> int:
     return 0
 
 
+def _markdown(title: str, parts: dict[str, DataFrame]) -> list[str]:
+    """A report of small tables: one row for each class, field, tag or kind."""
+    lines = [f"# {title}"]
+    for name, df in parts.items():
+        rows = [tuple(r) for r in df.collect()]
+        lines += ["", f"## {name}", "", "| " + " | ".join(df.columns) + " |", "|" + "-|" * len(df.columns)]
+        lines += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in sorted(rows, key=lambda r: tuple(map(str, r)))]
+    return lines
+
+
 def graph_(spark: SparkSession, a: argparse.Namespace) -> int:
     rows = sources.read_jsonl(spark, a.input)
     nodes, edges = graph.nodes(rows), graph.edges(rows)
@@ -58,6 +68,8 @@ def graph_(spark: SparkSession, a: argparse.Namespace) -> int:
     edges.write.mode("errorifexists").json(f"{a.output}/edges")
     if a.dot:
         graph.to_dot(nodes, edges).orderBy("ord", "line").select("line").coalesce(1).write.text(f"{a.output}/dot")
+    if a.report:
+        return _print(_markdown("Graph", {"nodes": nodes.groupBy("kind").count(), "edges": graph.stats(edges), "unverified numbers": graph.unverified(graph.fields_of(rows))}), a.report)
     return 0
 
 
@@ -65,6 +77,9 @@ def tables_(spark: SparkSession, a: argparse.Namespace) -> int:
     rows = sources.read_jsonl(spark, a.input).select("doc_id", F.col("text.pages").alias("pages"), F.col("text.full").alias("full"))
     words = spark.read.parquet(a.words) if a.words else spark.createDataFrame([], "doc_id string, page int, text string, x0 double, y0 double, x1 double, y1 double, conf double, char_start int, char_end int")
     tables.detect(rows, words, load(a.config)).write.mode("errorifexists").json(a.output)
+    if a.report:
+        found = spark.read.schema(tables.CELLS).json(a.output)
+        return _print(_markdown("Tables", {"found": tables.statistics(found), "refused": found.where("refused is not null").groupBy("method").count()}), a.report)
     return 0
 
 
@@ -74,14 +89,25 @@ def _fields(rows: DataFrame) -> DataFrame:
 
 def _scores(gold: DataFrame, pred: DataFrame) -> dict[str, DataFrame]:
     pairs = gold.select("doc_id", F.col("label").alias("truth")).join(pred.select("doc_id", F.col("classification.label").alias("got"), F.col("classification.confidence").alias("confidence")), "doc_id").withColumn("ord", F.col("doc_id"))
-    return {"classification": evaluate.classification(pairs), "labels": evaluate.per_label(pairs), "fields": evaluate.metadata_values(_fields(gold), _fields(pred)), "coverage": evaluate.coverage_at_error(pairs)}
+    tags = lambda df, tag: df.select(F.col("doc_id").alias("doc"), F.explode(tag).alias("tag"))
+    known = gold.where("tags is not null").select("doc_id")
+    by_tag = evaluate.set_scores(tags(gold, F.col("tags")), tags(pred.join(known, "doc_id", "left_semi"), F.transform("tags", lambda t: t["tag"])), "tag", [])
+    texts = gold.select("doc_id", F.col("text").alias("ref")).join(pred.select("doc_id", F.col("text.full").alias("hyp")), "doc_id")
+    fields = evaluate.metadata_values(_fields(gold), _fields(pred))
+    return {
+        "classification": evaluate.classification(pairs), "labels": evaluate.per_label(pairs), "confusion": evaluate.confusion(pairs), "coverage": evaluate.coverage_at_error(pairs),
+        "fields": fields, "fields together": evaluate.micro(fields), "spans": evaluate.metadata_spans(_fields(gold), _fields(pred)), "proven fields": evaluate.validated_precision(_fields(gold), _fields(pred)),
+        "tags": by_tag, "tags together": evaluate.micro(by_tag), "text": evaluate.extraction(texts),
+    }
 
 
-GOLD = "doc_id string, label string, metadata array<struct<field:string,value:string,normalized_value:string,char_start:int,char_end:int>>"
+GOLD = "doc_id string, label string, tags array<string>, text string, metadata array<struct<field:string,value:string,normalized_value:string,char_start:int,char_end:int>>"
 
 
 def eval_(spark: SparkSession, a: argparse.Namespace) -> int:
     found = _scores(spark.read.schema(GOLD).json(a.gold), sources.read_jsonl(spark, a.pred))
+    if a.markdown:
+        return _print(_markdown("Evaluation", found), a.output)
     return _print([json.dumps({name: [r.asDict() for r in df.collect()] for name, df in found.items()}, indent=2)], a.output)
 
 
@@ -89,7 +115,7 @@ def compare(spark: SparkSession, a: argparse.Namespace) -> int:
     """2 if asked to fail on regressions and there is one."""
     gold = spark.read.schema(GOLD).json(a.gold)
     x, y = (_scores(gold, sources.read_jsonl(spark, p)) for p in (a.a, a.b))
-    rows = [r.asDict() for k, by in (("labels", "label"), ("fields", "field")) for r in evaluate.compare(x[k], y[k], by).orderBy("delta", by).collect()]
+    rows = [r.asDict() for k, by in (("labels", "label"), ("fields", "field"), ("tags", "tag")) for r in evaluate.compare(x[k], y[k], by).orderBy("delta", by).collect()]
     _print([json.dumps(rows, indent=2)], a.output)
     return 2 if a.fail_on_regression and any(r["regressed"] for r in rows) else 0
 
@@ -128,9 +154,9 @@ def import_review(spark: SparkSession, a: argparse.Namespace) -> int:
 VERBS = {
     "run": (run, ["--input", "--output"], ["--no-resume"]),
     "profile": (profile_, ["--input"], ["--output="]),
-    "graph": (graph_, ["--input", "--output"], ["--dot"]),
-    "tables": (tables_, ["--input", "--output"], ["--words="]),
-    "eval": (eval_, ["--gold", "--pred"], ["--output="]),
+    "graph": (graph_, ["--input", "--output"], ["--dot", "--report="]),
+    "tables": (tables_, ["--input", "--output"], ["--words=", "--report="]),
+    "eval": (eval_, ["--gold", "--pred"], ["--output=", "--markdown"]),
     "compare": (compare, ["--gold", "--a", "--b"], ["--output=", "--fail-on-regression"]),
     "import-labels": (import_labels, ["--csv", "--root", "--output"], ["--name-column=File_Name", "--label-column=Document_Type"]),
     "export-review": (export_review, ["--input", "--output"], ["--merge-from=", "--overwrite"]),

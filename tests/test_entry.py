@@ -48,3 +48,23 @@ def test_arriving_files_become_records_once(spark, tmp_path):
     run(spark, folder, out, state).awaitTermination()
     got = [r.label for r in spark.read.parquet(out).select("classification.label").collect()]
     assert sorted(got) == ["invoice", "receipt"]
+
+
+def test_reports_of_the_command_line(spark, tmp_path):
+    """eval tells of tags, spans and texts, and reports are written as Markdown."""
+    import json
+
+    from quillon import cli
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.txt").write_text("TAX INVOICE\nInvoice No: INV-2024-0042")
+    folder = str(tmp_path)
+    assert cli.main(["run", "--input", f"{folder}/in", "--output", f"{folder}/out"]) == 0
+    row = spark.read.json(f"{folder}/out").first()
+    (tmp_path / "gold.jsonl").write_text(json.dumps({"doc_id": row.doc_id, "label": "invoice", "tags": ["no_such_tag"], "text": row.text.full, "metadata": []}) + "\n")
+    assert cli.main(["eval", "--gold", f"{folder}/gold.jsonl", "--pred", f"{folder}/out", "--markdown", "--output", f"{folder}/eval.md"]) == 0
+    report = (tmp_path / "eval.md").read_text()
+    assert "| invoice | 1 | 0 | 0 |" in report and "| no_such_tag | 0 | 0 | 1 |" in report and "| 1 | 0.0 | 0.0 |" in report
+    assert cli.main(["tables", "--input", f"{folder}/out", "--output", f"{folder}/tables", "--report", f"{folder}/tables.md"]) == 0
+    assert cli.main(["graph", "--input", f"{folder}/out", "--output", f"{folder}/graph", "--report", f"{folder}/graph.md"]) == 0
+    assert "| document | 1 |" in (tmp_path / "graph.md").read_text() and "# Tables" in (tmp_path / "tables.md").read_text()
