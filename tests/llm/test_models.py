@@ -268,6 +268,18 @@ def test_licenses(spark):
     assert not re.search("Python|Pandas|Arrow", plan.replace("ExistingRDD", ""))
 
 
+def test_every_notice_is_found_as_its_licence(spark):
+    """On a line of its own and wrapped into lines of a comment beside other words."""
+    rows = []
+    for i, (_, text) in enumerate(licenses.NOTICES):
+        words = text.split()
+        wrapped = "\n".join(" * " + " ".join(words[k : k + 7]) for k in range(0, len(words), 7))
+        rows += [(2 * i, f"one\n{text}\ntwo"), (2 * i + 1, f"/* The work of some of us\n{wrapped}\n * and so it goes */")]
+    got = {(r.doc_id, r.license) for r in licenses.scan(frame(spark, rows)).collect()}
+    wanted = {(2 * i + k, name) for i, (name, _) in enumerate(licenses.NOTICES) for k in (0, 1)}
+    assert wanted <= got, sorted(wanted - got)
+
+
 def test_licenses_beside_other_words(spark):
     notice = [t for _, t in licenses.NOTICES]
     block = "/*\n * Copyright 2020 Jane Doe\n *\n" + "".join(f" * {' '.join(notice[3].split()[k : k + 9])}\n" for k in range(0, 70, 9)) + " *\n" + " * The above notice shall be included in all copies or large parts of these files, and no one will be held to account.\n" * 3 + " * It comes as it is, with no warranty of any kind, and its authors answer for no claim that might arise out of it in any way.\n */\nint main;"
