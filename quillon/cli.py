@@ -9,27 +9,80 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.config import load
-from quillon.operators import evaluate, graph, profile, review, tables
+from quillon.config import load, write_thresholds
+from quillon.operators import evaluate, graph, ml, profile, review, tables
 from quillon.plans.process import records, resumed
-from quillon.schema import record_schema
+from quillon.schema import canonical_text, record_schema
 from quillon.shipping import ship
 from quillon.sources import documents as sources
+from quillon.store import exists
 
 
 def _done(spark: SparkSession, path: str) -> DataFrame | None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(record_schema()).json(path) if exists else None
+    return spark.read.schema(record_schema()).json(path) if exists(spark, path) else None
 
 
 def run(spark: SparkSession, a: argparse.Namespace) -> int:
+    """With --models, texts are scored by the classifier and the tagger that are there."""
     files = sources.read_files(spark, a.input)
-    fresh = resumed(files, None if a.no_resume else _done(spark, a.output))
-    sources.write_records(records(sources.extract(fresh), config=load(a.config)), a.output)
+    docs = sources.extract(resumed(files, None if a.no_resume else _done(spark, a.output)))
+    scores = {"classifier": None, "tagger": None}
+    for kind in scores if a.models else ():
+        model = ml.load_model(spark, f"{a.models}/{kind}")
+        if model:
+            docs = model.scores(docs.withColumn("model_text_", canonical_text(F.col("pages"))), "model_text_", f"{kind}_", exclusive=kind == "classifier").drop("model_text_")
+            scores[kind] = F.col(f"{kind}_")
+    sources.write_records(records(docs, *scores.values(), config=load(a.config)), a.output)
     return 0
 
 
+ANNOTATIONS = "doc_id string, path string, text string, label string, tags array<string>"
+
+
+def _annotated(spark: SparkSession, a: argparse.Namespace, first: str) -> DataFrame:
+    """Annotations with their texts: those of records (--predictions) of their doc_id or path, their own; ``first`` names those taken first.
+
+    Rows without either are left out. Of several records with one key, the largest text counts.
+    """
+    rows = spark.read.schema(ANNOTATIONS).json(a.annotations).withColumn("key", F.coalesce(F.nullif("doc_id", F.lit("")), "path"))
+    if a.predictions:
+        told = sources.read_jsonl(spark, a.predictions)
+        keys = F.explode(F.array_distinct(F.array("doc_id", "source_path")))
+        told = told.select(keys.alias("key"), F.nullif("text.full", F.lit("")).alias("told")).groupBy("key").agg(F.max("told").alias("told"))
+        rows = rows.join(told, "key", "left")
+    else:
+        rows = rows.withColumn("told", F.lit(None).cast("string"))
+    own = F.nullif("text", F.lit(""))
+    text = F.coalesce("told", own) if first == "told" else F.coalesce(own, "told")
+    return rows.withColumn("text", text).where("text is not null").drop("told")
+
+
+def train(spark: SparkSession, a: argparse.Namespace) -> int:
+    """1 if nothing was trained."""
+    rows, fitted = _annotated(spark, a, "own").persist(), 0
+    for kind, column, fit in (("classifier", "label", ml.train_classifier), ("tagger", "tags", ml.train_tagger)):
+        own = rows.where(F.length("label") > 0 if column == "label" else F.size("tags") > 0)
+        if a.kind in (kind, "both") and not own.isEmpty():
+            model, told = fit(own, iterations=int(a.iterations))
+            model.save(spark, f"{a.output_model}/{kind}", told)
+            fitted += 1
+    rows.unpersist()
+    return int(not fitted)
+
+
+def tune_thresholds(spark: SparkSession, a: argparse.Namespace) -> int:
+    """1 if there is no tagger or no tagged text. Of repeated annotations, the one with the largest tags counts."""
+    model = ml.load_model(spark, a.model_dir)
+    rows = _annotated(spark, a, "told").where("key is not null and tags is not null").groupBy("key").agg(F.max(F.struct("tags", "text")).alias("x")).select("x.*")
+    if model is None or rows.isEmpty():
+        return 1
+    scored = model.scores(rows, exclusive=False).select("tags", F.explode("scores").alias("tag", "prob"))
+    fitted = evaluate.fit_threshold(scored.select("tag", F.array_contains("tags", F.col("tag")).cast("int").alias("truth"), "prob")).orderBy("tag").collect()
+    if not a.dry_run:
+        write_thresholds(a.config, {r["tag"]: r["threshold"] for r in fitted})
+    return _print([json.dumps([r.asDict() for r in fitted], indent=2)], a.output)
+
+
 def profile_(spark: SparkSession, a: argparse.Namespace) -> int:
     rows = sources.read_jsonl(spark, a.input).select("doc_id", F.col("classification.label").alias("label"), F.col("text.method").alias("method"), F.col("text.char_count").alias("chars"), F.col("text.extraction_confidence").alias("confidence"))
     lines = ["# Profile", "", "| what | value | documents |", "|-|-|-|"]
@@ -152,7 +205,9 @@ def import_review(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 VERBS = {
-    "run": (run, ["--input", "--output"], ["--no-resume"]),
+    "run": (run, ["--input", "--output"], ["--no-resume", "--models="]),
+    "train": (train, ["--annotations", "--output-model"], ["--kind=both", "--predictions=", "--iterations=30"]),
+    "tune-thresholds": (tune_thresholds, ["--annotations", "--model-dir"], ["--predictions=", "--dry-run", "--output="]),
     "profile": (profile_, ["--input"], ["--output="]),
     "graph": (graph_, ["--input", "--output"], ["--dot", "--report="]),
     "tables": (tables_, ["--input", "--output"], ["--words=", "--report="]),

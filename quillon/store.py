@@ -54,3 +54,9 @@ def ranged(rows: DataFrame, *order: Column) -> DataFrame:
     sees the same ranges.
     """
     return saved(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranges")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """If a store that Spark reads has this file or folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)

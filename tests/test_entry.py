@@ -68,3 +68,40 @@ def test_reports_of_the_command_line(spark, tmp_path):
     assert cli.main(["tables", "--input", f"{folder}/out", "--output", f"{folder}/tables", "--report", f"{folder}/tables.md"]) == 0
     assert cli.main(["graph", "--input", f"{folder}/out", "--output", f"{folder}/graph", "--report", f"{folder}/graph.md"]) == 0
     assert "| document | 1 |" in (tmp_path / "graph.md").read_text() and "# Tables" in (tmp_path / "tables.md").read_text()
+
+
+def test_models_are_trained_saved_and_tuned(spark, tmp_path, monkeypatch):
+    """train writes models that run takes up, and tune-thresholds rewrites the cutoffs of a configuration."""
+    import json
+    import shutil
+
+    from quillon import cli
+    from quillon.config import base_of, load, write_thresholds
+    from quillon.operators import ml
+    from quillon.operators.ml import load_model
+
+    monkeypatch.setattr(ml, "TERMS", 256)
+    folder, config = str(tmp_path), str(tmp_path / "config")
+    shutil.copytree(base_of(None), config, ignore=shutil.ignore_patterns("*.py", "__pycache__"))
+    rows = [{"doc_id": str(i), "text": f"{word} page {i}", "label": label, "tags": tags} for i in range(6) for word, label, tags in (("harvest of wheat and barley", "crop", ["payment_made"]), ("engine with piston and valve", "motor", ["contains_pii"]))]
+    rows.append({"doc_id": "none", "label": "crop"})
+    (tmp_path / "gold.jsonl").write_text("".join(json.dumps({**r, "doc_id": f"{k}"}) + "\n" for k, r in enumerate(rows)))
+    assert cli.main(["train", "--annotations", f"{folder}/gold.jsonl", "--output-model", f"{folder}/models", "--iterations", "3"]) == 0
+    again = load_model(spark, f"{folder}/models/classifier").scores(spark.createDataFrame([("barley harvest",), ("piston engine",), (None,)], "text string")).collect()
+    assert [max(r.scores, key=r.scores.get) for r in again[:2]] == ["crop", "motor"] and set(again[2].scores) == {"crop", "motor"}
+    assert json.loads(spark.read.text(f"{folder}/models/classifier/meta").first().value)["trained_on"] == {"crop": 6, "motor": 6}
+    tune = ["--config", config, "tune-thresholds", "--annotations", f"{folder}/gold.jsonl", "--model-dir", f"{folder}/models/tagger", "--output", f"{folder}/tuned.json"]
+    write_thresholds(config, {"payment_made": 0.99})
+    before = load(config).tags["tags"]["payment_made"]["threshold"]
+    assert cli.main([*tune, "--dry-run"]) == 0 and load(config).tags["tags"]["payment_made"]["threshold"] == before
+    assert cli.main(tune) == 0
+    tuned = {r["tag"]: r for r in json.loads((tmp_path / "tuned.json").read_text())}
+    assert set(tuned) == {"contains_pii", "payment_made"} and tuned["payment_made"]["f1"] == 1.0 and tuned["payment_made"]["positives"] == 6
+    assert load(config).tags["tags"]["payment_made"]["threshold"] == tuned["payment_made"]["threshold"] != before
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.txt").write_text("barley and wheat harvest")
+    assert cli.main(["--config", config, "run", "--input", f"{folder}/in", "--output", f"{folder}/out", "--models", f"{folder}/models"]) == 0
+    row = spark.read.json(f"{folder}/out").first()
+    assert row.classification.label == "crop" and row.classification.method == "tfidf_svm" and [t.tag for t in row.tags if t.method == "tfidf_svm"] == ["payment_made"]
+    assert cli.main(["train", "--annotations", f"{folder}/gold.jsonl", "--output-model", f"{folder}/none", "--kind", "neither"]) == 1
+    assert cli.main(["tune-thresholds", "--annotations", f"{folder}/gold.jsonl", "--model-dir", f"{folder}/none"]) == 1
