@@ -1,4 +1,4 @@
-"""Tokenise documents and pack the pieces into sequences by hierarchical best fit."""
+"""Tokenise documents and pack the pieces into sequences by best fit."""
 
 from __future__ import annotations
 
@@ -6,21 +6,18 @@ import base64
 import bisect
 import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.llm._store import saved
 
-#: Pieces that one task packs at a time in the first round.
+#: Pieces that one task places at a time.
 PER_TASK = 60_000
-#: Groups whose underfull bins meet in one task of the next round.
-FAN_IN = 8
-#: Underfull bins that a task hands on at most; the emptiest. The others are closed as they are, with all their pieces.
-CARRY = 8_000
 _SPECIAL = "<|endoftext|>"
 
 
@@ -73,71 +70,107 @@ def _cut(path: str | None, size: int, end_id: int) -> Callable:
     return run
 
 
+@dataclass(frozen=True)
+class Plan:
+    """Where best fit puts items, the largest first. Steps name the first item, in that order, the first bin, items a bin and where they begin."""
+
+    sizes: np.ndarray  # ascending
+    firsts: np.ndarray  # places in the order of their first items
+    item: np.ndarray
+    bin: np.ndarray
+    each: np.ndarray
+    offset: np.ndarray
+
+    def places(self, sizes: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bin, offset) of the items of these sizes and ranks among the items of their size, from 0."""
+        items = self.firsts[np.searchsorted(self.sizes, sizes)] + ranks
+        k = np.searchsorted(self.item, items, "right") - 1
+        after = items - self.item[k]
+        return self.bin[k] + after // self.each[k], self.offset[k] + after % self.each[k] * sizes
+
+
+def fit_plan(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> Plan:
+    """Best fit of any number of items, from the sizes, ascending, and the count of each.
+
+    Items of one size are alike, and so are bins of equal room. The bin with the least
+    room that holds an item stays that bin until no further item of the size fits, so a
+    run of like bins takes its items in one step. A size splits at most two runs, so
+    steps grow with the number of sizes, not of items.
+    """
+    steps: list[tuple[int, int, int, int]] = []
+    rooms: list[int] = []  # sizes of room that some open bin has, sorted
+    by_room: dict[int, list[tuple[int, int]]] = {}  # (first bin, bins) of its runs
+    bins = item = 0
+
+    def put(room: int, first: int, number: int) -> None:
+        if room and number:
+            if room not in by_room:
+                by_room[room] = []
+                bisect.insort(rooms, room)
+            by_room[room].append((first, number))
+
+    for size, left in zip(sizes[::-1].tolist(), counts[::-1].tolist(), strict=True):
+        while left:
+            at = bisect.bisect_left(rooms, size)
+            if at == len(rooms):
+                room, first, number = capacity, bins, -(-left // (capacity // size))
+                bins += number
+            else:
+                room = rooms[at]
+                first, number = by_room[room].pop()
+                if not by_room[room]:
+                    del by_room[room], rooms[at]
+            # Some bins take as many as they hold, the next one what is left, the others nothing.
+            each = room // size
+            full = min(number, left // each)
+            rest = left - full * each if full < number else 0
+            for start, taken, n in ((first, full, each), (first + full, min(rest, 1), rest)):
+                if taken:
+                    steps.append((item, start, n, capacity - room))
+                    put(room - n * size, start, taken)
+                    item, left = item + taken * n, left - taken * n
+            used = full + min(rest, 1)
+            put(room, first + used, number - used)
+    return Plan(sizes, np.cumsum(counts[::-1])[::-1] - counts, *np.array(steps, np.int64).reshape(-1, 4).T.copy())
+
+
+def _ranks(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... for as many as each count says, one after the other."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bin, offset, fill): best fit of the items, largest first; ties in the order given."""
-    place, offset, fill = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), []
-    rooms: list[int] = []  # sizes of room that some open bin has, sorted
-    by_room: dict[int, list[int]] = {}
-    for i in np.argsort(-sizes, kind="stable").tolist():
-        s = int(sizes[i])
-        at = bisect.bisect_left(rooms, s)
-        if at == len(rooms):
-            target, used = len(fill), 0
-            fill.append(0)
-        else:
-            room = rooms[at]
-            target = by_room[room].pop()
-            used = capacity - room
-            if not by_room[room]:
-                del by_room[room], rooms[at]
-        place[i], offset[i] = target, used
-        fill[target] = used + s
-        if left := capacity - used - s:
-            if left not in by_room:
-                by_room[left] = []
-                bisect.insort(rooms, left)
-            by_room[left].append(target)
-    return place, offset, np.array(fill, np.int64)
-
-
-def _round(capacity: int, slack: int, last: bool) -> Callable:
-    """Best-fit the bins of one group (in the first round single pieces); rows keep their bin's inner order."""
-
-    def run(group: pa.Table) -> pa.Table:
-        bins, offset = group["bin"].to_numpy(), group["offset"].to_numpy()
-        order = np.lexsort((offset, bins))
-        group, bins, offset = group.take(pa.array(order)), bins[order], offset[order]
-        first = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
-        sizes = np.add.reduceat(group["length"].to_numpy(), first)
-        place, base, fill = best_fit(sizes, capacity)
-        # The smallest earlier number among a bin's items names it.
-        name = np.full(len(fill), np.iinfo(np.int64).max)
-        np.minimum.at(name, place, bins[first])
-        is_open = np.zeros(len(fill), bool)
-        if not last:
-            under = np.flatnonzero(fill < capacity - slack)
-            is_open[under[np.lexsort((name[under], fill[under]))][:CARRY]] = True
-        each = np.diff(np.append(first, len(bins)))
-        out = [group["id"], group["piece"], group["start"], group["length"], group["ids_crc32"], pa.array(np.repeat(name[place], each)), pa.array(offset + np.repeat(base, each)), pa.array(group["grp"].to_numpy() // FAN_IN), pa.array(np.repeat(is_open[place], each))]
-        return pa.Table.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in out], names=_COLUMNS)
+    known, inverse, counts = np.unique(sizes, return_inverse=True, return_counts=True)
+    ranks = np.zeros(len(sizes), np.int64)
+    ranks[np.argsort(inverse, kind="stable")] = _ranks(counts)
+    place, offset = fit_plan(known, counts, capacity).places(sizes, ranks)
+    fill = np.zeros(place.max(initial=-1) + 1, np.int64)
+    np.add.at(fill, place, sizes)
+    return place, offset, fill
 
-    return run
 
+def _place(plan: Plan) -> Callable:
+    """Sequence and offset of the pieces of one group, of which ``earlier`` counts those of each length in the groups before it."""
+
+    def run(group: pa.Table, earlier: pa.Table) -> pa.Table:
+        earlier, group = earlier.sort_by("length"), group.sort_by([("length", "ascending"), ("number", "ascending")])
+        n = earlier["n"].to_numpy()
+        place, offset = plan.places(group["length"].to_numpy(), _ranks(n) + np.repeat(earlier["earlier"].to_numpy(), n))
+        return group.select(["id", "piece", "start", "length", "ids_crc32"]).append_column("sequence_id", pa.array(place)).append_column("offset", pa.array(offset))
 
-_COLUMNS = ["id", "piece", "start", "length", "ids_crc32", "bin", "offset", "grp", "open"]
-_SCHEMA = "id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, grp long, open boolean"
+    return run
 
 
-def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, slack: int = 8, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset): one row per piece.
 
     A document is its ids by the tokenizer, then ``end_id``. Documents of more than
     ``capacity`` ids are cut into pieces of that length, the first may be shorter.
-    Pieces are spread over groups of bounded size and best-fitted there, the largest
-    first. Bins with room for at most ``slack`` ids are done; the underfull ones meet
-    those of FAN_IN groups in the next round, as items that are best-fitted again, until
-    one group is left. After a round at most one bin of a group is half empty, so what
-    a task hands on needs no more than its CARRY emptiest bins: all others stay bins.
+    All pieces are best-fitted together, the largest first. The driver plans this from
+    the count of each length, at most ``capacity`` numbers. Pieces are numbered within
+    their length by groups of bounded size, of which each learns how many pieces of a
+    length the groups before it have, and look their places up in the plan.
 
     Null text counts as empty: the end id alone. Repeated rows are packed each; null
     ids stay null. An empty table gives no rows. sequence_id is any number that the
@@ -145,18 +178,16 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, slack: int = 8,
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     cut = source.mapInArrow(_cut(tokenizer, capacity, end_id), "id long, piece int, start long, length long, ids_crc32 long")
-    bins = saved(cut.withColumn("bin", F.monotonically_increasing_id()), "pieces")
-    groups = max(1, -(-bins.count() // PER_TASK))
-    bins = bins.select("*", F.lit(0).cast("long").alias("offset"), F.pmod(F.xxhash64("bin"), F.lit(groups)).alias("grp"), F.lit(True).alias("open"))
-    done, level = [], 0
-    while True:
-        last = groups == 1
-        bins = saved(bins.groupBy("grp").applyInArrow(_round(capacity, slack, last), _SCHEMA), f"round{level}")
-        done.append(bins.where("not open"))
-        if last:
-            break
-        bins, groups, level = bins.where("open"), -(-groups // FAN_IN), level + 1
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionAll(more)
-    return out.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset")
+    pieces = saved(cut.withColumn("number", F.monotonically_increasing_id()), "pieces")
+    groups = max(1, -(-pieces.count() // PER_TASK))
+    pieces = pieces.withColumn("grp", F.pmod(F.xxhash64("number"), F.lit(groups)))
+    counts = saved(pieces.groupBy("length", "grp").agg(F.count("*").alias("n")), "lengths")
+    totals = sorted((r.length, r.n) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect())
+    plan = fit_plan(*np.array(totals, np.int64).reshape(-1, 2).T, capacity)
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumn("earlier", F.coalesce(before, F.lit(0)))
+    out = pieces.groupBy("grp").cogroup(counts.groupBy("grp")).applyInArrow(_place(plan), _SCHEMA)
+    return out.withColumnRenamed("id", id_col)
+
+
+_SCHEMA = "id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"

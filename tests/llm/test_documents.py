@@ -18,7 +18,7 @@ from quillon.llm.decontamination import contaminated, tiles
 from quillon.llm.exact_dedup import exact_duplicates
 from quillon.llm.language_id import Model, family_of, identify
 from quillon.llm.minhash import near_duplicates, needed_matches, plan_for
-from quillon.llm.packing import best_fit, encoder, pack
+from quillon.llm.packing import best_fit, encoder, fit_plan, pack
 
 DOC = "doc_id long, text string, n int, kept string, id string"
 
@@ -181,6 +181,48 @@ def test_pack_round_trip(spark, monkeypatch):
     assert pack(frame(spark, rows).limit(0)).count() == 0
 
 
+def naive_fills(sizes, capacity):
+    """Fills of bins by best fit, item by item."""
+    fills = []
+    for s in sorted(sizes, reverse=True):
+        fitting = [b for b, f in enumerate(fills) if f + s <= capacity]
+        if fitting:
+            fills[max(fitting, key=lambda b: fills[b])] += s
+        else:
+            fills.append(s)
+    return sorted(fills)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 50), max_size=60), st.integers(50, 120))
+def test_best_fit_fills_bins_as_item_by_item(sizes, capacity):
+    assert sorted(best_fit(np.array(sizes, np.int64), capacity)[2].tolist()) == naive_fills(sizes, capacity)
+
+
+def test_plan_takes_any_number_of_items():
+    n = 10**12
+    plan = fit_plan(np.array([5, 28, 100, 123]), np.array([n, n, n, n]), 128)
+    place, offset = plan.places(np.array([123, 5, 5, 100, 28]), np.array([n - 1, n - 1, 0, 0, n // 2]))
+    assert place.tolist() == [n - 1, n - 1, 0, n, n + n // 2] and offset.tolist() == [0, 123, 123, 0, 100]
+    assert len(plan.item) == 4
+
+
+def test_pack_fills_sequences_across_tasks(spark, monkeypatch):
+    import quillon.llm.packing as module
+
+    monkeypatch.setattr(module, "PER_TASK", 20)
+    rng = random.Random(2)
+    pairs = [123, 5, 100, 28] * 100
+    for lengths in (pairs, [rng.choice([rng.randrange(1, 9), rng.randrange(20, 129)]) for _ in range(400)]):
+        got = pack(frame(spark, [(i, " a" * (n - 1)) for i, n in enumerate(lengths)]), capacity=128).toPandas()
+        assert sorted(got.length) == sorted(lengths)
+        assert sorted(got.groupby("sequence_id").length.sum()) == naive_fills(lengths, 128)
+        for _, sequence in got.groupby("sequence_id"):
+            sequence = sequence.sort_values("offset")
+            assert (sequence.offset == sequence.length.cumsum() - sequence.length).all()
+    assert len(naive_fills(pairs, 128)) == 200
+
+
 def test_packing_is_tight(spark, sf):
     got = pack(spark.read.parquet(f"{sf}/documents.parquet")).toPandas()
     assert got.sequence_id.nunique() <= -(-got.length.sum() // 2048) + 1
