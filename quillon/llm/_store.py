@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +70,8 @@ def numbered(docs: DataFrame, row_col: str) -> DataFrame:
         files = [r[0] for r in placed.select("file_").distinct().collect()]
     except AnalysisException:
         return saved(docs.withColumn(row_col, F.monotonically_increasing_id()), "numbered")
-    names = spark.createDataFrame(list(enumerate(sorted(files))), "no_ long, file_ string")
+    # As Arrow: a list of rows would be read by Python workers of a second kind, which executors then keep.
+    names = spark.createDataFrame(pa.table({"no_": pa.array(range(len(files)), pa.int64()), "file_": pa.array(sorted(files), pa.string())}), "no_ long, file_ string")
     out = placed.join(F.broadcast(names), "file_", "left")
     return out.select(*docs.columns, (F.col("no_") * F.lit(_FILE_ROWS) + F.col("index_")).alias(row_col))
 

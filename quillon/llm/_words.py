@@ -1,7 +1,8 @@
 """Vectorised tokenising of Arrow string columns.
 
 Texts are never turned into Python strings: words are found and hashed on the
-UTF-8 bytes that Arrow already holds, one slice of about a megabyte at a time.
+UTF-8 bytes that Arrow already holds, one slice of about 256 KB at a time:
+each byte of a slice takes some hundred bytes of arrays.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 SLICE_DOCS = 4000
 
 #: ASCII white space: the bytes 0x20 and 0x09 to 0x0D.
@@ -44,7 +45,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the hash base and of its inverse modulo 2**64."""
     if len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 2 * len(_powers[0]), SLICE_BYTES + 1)
         for i, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1

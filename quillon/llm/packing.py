@@ -21,18 +21,25 @@ PER_TASK = 60_000
 _SPECIAL = "<|endoftext|>"
 
 
+@lru_cache(maxsize=2)
+def _exact(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
     """Ids of texts by the byte-level BPE in this tokenizers file.
 
     The file's vocabulary is read into a faster implementation of the same
-    algorithm; texts that hold a special token go through tokenizers itself.
+    algorithm; texts that hold a special token go through tokenizers itself,
+    which is loaded with the first of them.
     """
     import json
 
     import tiktoken
     from public_tokenizers import PATTERN
-    from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
         vocabulary = json.load(f)["model"]["vocab"]
@@ -40,10 +47,9 @@ def encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
     to_byte = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(visible))}
     ranks = {bytes(to_byte[c] for c in token): i for token, i in vocabulary.items() if token != _SPECIAL}
     fast = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    exact = Tokenizer.from_file(path)
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [exact.encode(t, add_special_tokens=False).ids if _SPECIAL in t else fast.encode_ordinary(t) for t in texts]
+        return [_exact(path).encode(t, add_special_tokens=False).ids if _SPECIAL in t else fast.encode_ordinary(t) for t in texts]
 
     return encode
 

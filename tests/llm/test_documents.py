@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -13,12 +14,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quillon.llm import exact_dedup
+from quillon.llm._store import numbered
 from quillon.llm._words import NOT_ALNUM, SPACE, buffers, find_words, slices, word_hash
 from quillon.llm.decontamination import contaminated, tiles
 from quillon.llm.exact_dedup import exact_duplicates
 from quillon.llm.language_id import Model, family_of, identify
 from quillon.llm.minhash import near_duplicates, needed_matches, plan_for
 from quillon.llm.packing import best_fit, encoder, fit_plan, pack
+from quillon.shipping import BATCH_BYTES, ship
 
 DOC = "doc_id long, text string, n int, kept string, id string"
 
@@ -39,6 +42,41 @@ def test_words_are_those_of_bytes_split(texts):
         assert words.hashes.tolist() == [word_hash(w) for w in expected]
 
 
+def test_words_of_many_texts_take_little_memory_at_a_time():
+    data, offsets = buffers(pa.array(["lorem ipsum dolor sit amet " * 100] * 3000))
+    tracemalloc.start()
+    for lo, hi in slices(offsets):
+        find_words(data, offsets[lo : hi + 1], SPACE)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(data) > 8e6 and peak < 25e6
+
+
+def test_python_workers_get_rows_in_small_batches(spark):
+    def sizes(batches):
+        for rows in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([rows.num_rows]), pa.array([rows.nbytes])], ["n", "size"])
+
+    texts = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    before = spark.conf.get(BATCH_BYTES, None)
+    try:
+        spark.conf.unset(BATCH_BYTES)
+        ship(spark)
+        got = texts.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 2000 and max(r.size for r in got) < 8e6
+        spark.conf.set(BATCH_BYTES, "32m")
+        ship(spark)
+        assert spark.conf.get(BATCH_BYTES) == "32m"
+    finally:
+        spark.conf.unset(BATCH_BYTES) if before is None else spark.conf.set(BATCH_BYTES, before)
+
+
+def test_row_numbers_need_no_python_worker(spark, sf):
+    rows = numbered(spark.read.parquet(f"{sf}/documents.parquet"), "row")
+    assert "RDD" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.select("row").distinct().count() == rows.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
 def brute_exact(rows):
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
     out = []
