@@ -26,6 +26,8 @@ LEAST_ASSOCIATION = 15.1
 #: Features that the models use at most, those of the strongest association: about a megabyte of weights.
 FEATURES = 50_000
 FOLDS = 5
+#: Training rows that one task turns into features. Their files are then as many as the sample asks for, however many parts the documents come in.
+PER_TASK = 500
 #: What the labels do not name is graded: toxic texts of which a large share are cues, and those with many kinds of cue.
 GRADES = ("dense", "varied")
 
@@ -261,8 +263,9 @@ def train(labelled: DataFrame, names: list[str], decide: str) -> Chain:
     shared.unpersist()
     places, counts = ([np.asarray(v.values) for v in sample[c].combine_chunks()] for c in ("features", "counts"))
     labels = np.array(sample["labels"].to_pylist(), float).reshape(-1, len(names))
-    order = sorted(range(len(places)), key=lambda i: (labels[i].tolist(), zlib.crc32(counts[i].tobytes(), zlib.crc32(places[i].tobytes()))))
-    labels, folds, totals = labels[order], sample["fold"].to_numpy()[order], sample["total"].to_numpy()[order]
+    folds, totals = sample["fold"].to_numpy(), sample["total"].to_numpy()
+    order = sorted(range(len(places)), key=lambda i: (labels[i].tolist(), folds[i], totals[i], zlib.crc32(counts[i].tobytes(), zlib.crc32(places[i].tobytes()))))
+    labels, folds, totals = labels[order], folds[order], totals[order]
     owner = np.repeat(np.arange(len(order)), [len(places[i]) for i in order])
     column, count = (np.concatenate([v[i] for i in order]) for v in (places, counts))
     x = Rows(owner, column, strength(count, totals[owner]), len(order), len(chosen))
@@ -298,9 +301,11 @@ def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
     # About 2 * per_class rows, by the rates above: small enough for every executor.
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = source.where("text is not null").join(F.broadcast(drawn), "id")
+    # Ids may repeat, so their rows are counted; this reads no text.
+    tasks = max(1, -(-source.select("id").join(F.broadcast(drawn.select("id")), "id").count() // PER_TASK))
     label = F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in categories.values()])
     labelled = rows.select("text", label.alias("labels"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold"))
-    chain = train(labelled, names, decide)
+    chain = train(labelled.repartition(tasks), names, decide)
     columns = [f"p_{n}" for n in chain.names]
     out = source.select("id", "text").mapInArrow(_predict(spark.sparkContext.broadcast(chain), columns), "id long, " + ", ".join(f"{c} double" for c in columns))
     return out.select(F.col("id").alias(id_col), *columns, (F.col(f"p_{decide}") >= threshold).alias(decide))

@@ -194,6 +194,20 @@ def test_toxicity_learns_every_language(spark):
     assert (held[held.truth == 1].groupby("lang").toxic.mean() > 0.85).all() and held[held.truth == 0].toxic.mean() < 0.005
 
 
+def test_toxicity_writes_files_by_its_sample_not_by_the_parts_of_the_documents(spark, monkeypatch):
+    rows = [(i % 1300, f"{'vile' if i % 4 == 0 else 'kind'} word{i % 7} and word{i % 11}") for i in range(1400)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(1300)], "doc_id long, toxic int")
+    parts, kept = [], toxicity.saved
+
+    def saved(df, name):
+        parts.append(df.rdd.getNumPartitions())
+        return kept(df, name)
+
+    monkeypatch.setattr(toxicity, "saved", saved)
+    found = [sorted(map(repr, toxicity.classify(frame(spark, rows).repartition(n), labels, toxicity.default_categories(), "toxic").collect())) for n in (1, 60)]
+    assert parts == [3, 3] and found[0] == found[1] and len(found[0]) == 1400
+
+
 def test_toxicity_finds_altered_words_and_counts_repeated_labels_once(spark):
     rng = random.Random(3)
     plain = ["river", "mountain", "forest", "window", "garden", "letter", "summer", "winter"]
