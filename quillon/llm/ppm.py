@@ -23,6 +23,10 @@ MODEL_GRAMS = 6_000_000
 #: Words whose counts are looked up while scoring: the most frequent ones, so that no frequent
 #: word is left to be a hot key of the join with all other counts.
 HEAD_WORDS = 1 << 16
+#: A counting task merges its counts when so many new keys wait, and passes them on when it holds
+#: so many: a worker then needs some 100 MB for them, whatever the size of its part.
+MERGE_KEYS = 1_000_000
+HELD_KEYS = 2_000_000
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -69,26 +73,33 @@ def grams(symbols: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
 
 
 class Counter:
-    """Counts of 64-bit keys, merged when many have come in."""
+    """Counts of 64-bit keys, merged when many have come in; ``full`` asks to take the total and begin anew."""
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.waiting = 0
+        self.full = False
 
     def add(self, keys: np.ndarray) -> None:
         found = np.unique(keys, return_counts=True)
         self.parts.append(found)
         self.waiting += len(found[0])
-        if self.waiting > 4_000_000 and len(self.parts) > 1:
+        if self.waiting > MERGE_KEYS and len(self.parts) > 1:
             self.parts = [self.total()]
-            self.waiting = -len(self.parts[0][0])
+            self.waiting = 0
+            self.full = len(self.parts[0][0]) > HELD_KEYS
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """All counts so far; the counter is empty afterwards."""
         if not self.parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         keys, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        self.parts, self.waiting, self.full = [], 0, False
         order = np.argsort(keys, kind="stable")
-        return summed(keys[order], counts[order])
+        keys = keys[order]
+        counts = counts[order]
+        del order
+        return summed(keys, counts)
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,64 +114,119 @@ _WORD, _GRAM, _DOC = 0, 1, 2
 
 
 def _count(order: int) -> Callable:
-    """(text) of training rows to (kind, key, n): words, contexts with a symbol, and documents."""
+    """(text) of training rows to (kind, key, n): words, contexts with a symbol, and documents; a key may come more than once."""
+
+    def out(kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(keys), 100_000):
+            part = keys[lo : lo + 100_000].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part), pa.array(counts[lo : lo + 100_000].astype(np.int64))], ["kind", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, contexts, docs = Counter(), Counter(), 0
+        counters, docs = {_WORD: Counter(), _GRAM: Counter()}, 0
         for rows in batches:
             data, offsets = buffers(rows.column(0))
             docs += rows.num_rows
-            for lo, hi in slices(offsets, 4 << 20, 1 << 20):
+            for lo, hi in slices(offsets):
                 own = offsets[lo : hi + 1]
                 found = find_words(data, own)
                 text = stream(data, own, found, order)
-                words.add(found.hashes)
-                contexts.add(grams(text.symbols, text.at, order))
-        for kind, (keys, counts) in ((_WORD, words.total()), (_GRAM, contexts.total()), (_DOC, (np.zeros(1, np.uint64), np.array([docs])))):
-            for lo in range(0, len(keys), 100_000):
-                part = keys[lo : lo + 100_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part), pa.array(counts[lo : lo + 100_000].astype(np.int64))], ["kind", "key", "n"])
+                counters[_WORD].add(found.hashes)
+                counters[_GRAM].add(grams(text.symbols, text.at, order))
+                for kind, counter in counters.items():
+                    if counter.full:
+                        yield from out(kind, *counter.total())
+        for kind, counter in counters.items():
+            yield from out(kind, *counter.total())
+        yield from out(_DOC, np.zeros(1, np.uint64), np.array([docs]))
 
     return run
 
 
 class Table:
-    """A hash table from 64-bit keys to rows of values, probed for whole arrays."""
+    """Rows of values by distinct 64-bit keys, probed for whole arrays.
+
+    Keys are sorted by the highest bits of their hashes, about one key for each value of
+    these bits, and ``first`` has where each value begins: no slot is left empty.
+    """
 
     def __init__(self, keys: np.ndarray, *values: np.ndarray):
-        bits = max(4, (2 * len(keys)).bit_length())
+        bits = max(4, len(keys).bit_length())
         self.shift = _U(64 - bits)
         home = self._home(keys)
-        order = np.argsort(home, kind="stable")
-        step = np.arange(len(keys))
-        slot = np.maximum.accumulate(home[order].astype(np.int64) - step) + step if len(keys) else step
-        size = max(1 << bits, int(slot[-1]) + 1 if len(keys) else 0) + 1
-        self.keys = np.full(size, _EMPTY, np.uint64)
-        self.keys[slot] = keys[order]
+        order = np.argsort(home).astype(np.int32)
+        self.first = np.zeros((1 << bits) + 1, np.int32)
+        np.cumsum(np.bincount(home, minlength=1 << bits), out=self.first[1:])
+        del home
+        # One row more: a last empty bucket begins there, and row -1 is there to be read.
+        self.keys = np.full(len(keys) + 1, _EMPTY, np.uint64)
+        self.keys[:-1] = keys[order]
         self.values = []
         for v in values:
-            column = np.zeros(size, v.dtype)
-            column[slot] = v[order]
+            column = np.zeros(len(keys) + 1, v.dtype)
+            column[:-1] = v[order]
             self.values.append(column)
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys ^ (keys >> _U(29))) * _U(0x9E3779B97F4A7C15)) >> self.shift
+        return (((keys ^ (keys >> _U(29))) * _U(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int32)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """The slot of each key, -1 if it isn't there."""
-        slot = self._home(keys).astype(np.int64)
-        seen = self.keys[slot]
-        wrong = np.flatnonzero(seen != keys)
-        pending = wrong[seen[wrong] != _EMPTY]
-        slot[wrong] = -1 - slot[wrong]
+        """The row of each key, -1 if it isn't there."""
+        home = self._home(keys)
+        out = self.first[home].astype(np.int64)
+        pending = np.flatnonzero(self.keys[out] != keys)
+        at, end = out[pending] + 1, self.first[home[pending] + 1]
+        out[pending] = -1
         while len(pending):
-            probe = -slot[pending]
-            seen = self.keys[probe]
-            hit = seen == keys[pending]
-            slot[pending] = np.where(hit, probe, -1 - probe)
-            pending = pending[~hit & (seen != _EMPTY)]
-        slot[slot < 0] = -1
-        return slot
+            more = at < end
+            pending, at, end = pending[more], at[more], end[more]
+            wrong = self.keys[at] != keys[pending]
+            out[pending[~wrong]] = at[~wrong]
+            pending, at, end = pending[wrong], at[wrong] + 1, end[wrong]
+        return out
+
+
+def _low(symbols: int) -> int:
+    """A mask of the last ``symbols`` symbols of a key."""
+    return (1 << int(BITS) * symbols) - 1
+
+
+class Level(NamedTuple):
+    """Sorted grams of an order and their counts; the contexts, where each begins, its count and its number of symbols."""
+
+    keys: np.ndarray
+    counts: np.ndarray
+    contexts: np.ndarray
+    first: np.ndarray
+    total: np.ndarray
+    kinds: np.ndarray
+
+
+def _level(keys: np.ndarray, counts: np.ndarray) -> Level:
+    contexts = keys >> BITS
+    first = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    total = np.add.reduceat(counts, first) if len(first) else np.zeros(0, np.int64)
+    return Level(keys, counts, contexts[first], first, total, np.diff(np.append(first, len(keys))))
+
+
+def _lower(keys: np.ndarray, k: int) -> Level:
+    """The grams of order k - 1, each counted once for every one of order k that ends in it."""
+    shorter = keys & _U(_low(k))
+    shorter.sort()
+    return _level(*summed(shorter, np.ones(len(shorter), np.int64)))
+
+
+def _escapes(level: Level, low: Level | None, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each context of order k: log escape, log denominator one order below, log escape there."""
+    escape = (np.log10(level.kinds) - np.log10(2.0 * level.total)).astype(np.float32)
+    if low is None:
+        return escape, np.log10(np.maximum(257.0 - level.kinds, 1.0)).astype(np.float32), np.zeros(len(level.kinds), np.float32)
+    same = low.counts[np.searchsorted(low.keys, level.keys & _U(_low(k)))]
+    same = np.add.reduceat(same, level.first) if len(level.first) else 0
+    below = np.searchsorted(low.contexts, level.contexts & _U(_low(k - 1)))
+    there = np.log10(2.0 * np.maximum(low.total[below] - same, 1))
+    new = low.kinds[below] - level.kinds
+    on = np.where(new > 0, np.log10(np.maximum(new, 1)) - there, 0.0)
+    return escape, there.astype(np.float32), on.astype(np.float32)
 
 
 class Model:
@@ -177,36 +243,20 @@ class Model:
         self.order = order
         self.grams: list[Table] = []  # by order: (log probability with nothing excluded, log of 2c - 1)
         self.nodes: list[Table] = []  # by order: (log escape, log denominator one order below, log escape there)
-        levels = []
+        level = _level(keys, counts)
+        # From the longest order down: arrays of two orders at a time, and no more of them than are still needed.
         for k in range(order, -1, -1):
-            contexts = keys >> BITS
-            first = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]])) if len(keys) else np.zeros(0, np.int64)
-            total = np.add.reduceat(counts, first) if len(first) else np.zeros(0, np.int64)
-            kinds = np.diff(np.append(first, len(keys)))
-            levels.append((keys, counts, contexts[first], first, total, kinds))
-            if k:
-                shorter = keys & ((_U(1) << (BITS * _U(k))) - _U(1))
-                shorter.sort()
-                keys, counts = summed(shorter, np.ones(len(shorter), np.int64))
-        levels.reverse()
-        for k, (keys, counts, contexts, first, total, kinds) in enumerate(levels):
-            full = np.log10(np.maximum(1, 2 * counts - 1))
-            alone = (full - np.log10(2.0 * np.repeat(total, kinds))).astype(np.float32)
+            low = _lower(level.keys, k) if k else None
+            self.nodes.append(Table(level.contexts, *_escapes(level, low, k)))
+            full = np.log10(np.maximum(1, 2 * level.counts - 1))
+            alone = (full - np.repeat(np.log10(2.0 * level.total), level.kinds)).astype(np.float32)
             # Nothing is escaped from before the longest order, so its grams need no second value.
-            self.grams.append(Table(keys, alone, full.astype(np.float32)) if k < order else Table(keys, alone))
-            escape = np.log10(kinds) - np.log10(2.0 * total)
-            if k:
-                low_keys, low_counts, low_contexts, _, low_total, low_kinds = levels[k - 1]
-                below = np.searchsorted(low_contexts, contexts & ((_U(1) << (BITS * _U(k - 1))) - _U(1)))
-                same = low_counts[np.searchsorted(low_keys, keys & ((_U(1) << (BITS * _U(k))) - _U(1)))]
-                left = low_total[below] - (np.add.reduceat(same, first) if len(first) else 0)
-                new = low_kinds[below] - kinds
-                there = np.log10(2.0 * np.maximum(left, 1))
-                on = np.where(new > 0, np.log10(np.maximum(new, 1)) - there, 0.0)
-            else:
-                there = np.log10(np.maximum(257.0 - kinds, 1.0))
-                on = np.zeros(len(kinds))
-            self.nodes.append(Table(contexts, escape.astype(np.float32), there.astype(np.float32), on.astype(np.float32)))
+            values = (alone, full.astype(np.float32)) if k < order else (alone,)
+            keys, level = level.keys, low
+            del full
+            self.grams.append(Table(keys, *values))
+        self.grams.reverse()
+        self.nodes.reverse()
 
     def log_probability(self, keys: np.ndarray) -> np.ndarray:
         """log10 of the probability of each gram's last symbol after its context."""
@@ -250,22 +300,14 @@ class Head:
         return np.where(slot >= 0, self.grams.values[0][slot], np.nan)
 
 
-_models: dict[int, Model | Head] = {}
-
-
 def _model(shared) -> Model | Head:
-    """The model of a broadcast, built once in each worker."""
-    found = shared.value
-    if id(found) not in _models:
-        _models.clear()
-        kind, *parts = found
-        _models[id(found)] = kind(*parts)
-    return _models[id(found)]
-
-
-def _low(symbols: int) -> int:
-    """A mask of the last ``symbols`` symbols of a key."""
-    return (1 << int(BITS) * symbols) - 1
+    """The model of a broadcast, built once in each worker: it replaces its counts there and goes with the broadcast."""
+    held = shared.value
+    if "parts" in held:
+        kind, *parts = held["parts"]
+        held["model"] = kind(*parts)
+        del held["parts"]
+    return held["model"]
 
 
 def _tables(grams: DataFrame, order: int) -> tuple[list[DataFrame], list[DataFrame]]:
@@ -410,7 +452,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, id_col: str = "
         keys, amounts = found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
         by_key = np.argsort(keys)
         parts = Model, keys[by_key], amounts[by_key], order
-    model = spark.sparkContext.broadcast(parts)
+    model = spark.sparkContext.broadcast({"parts": parts})
     top = words.orderBy(F.col("n").desc(), "key").limit(HEAD_WORDS).toArrow()
     head = spark.sparkContext.broadcast((top["key"].to_numpy().view(np.uint64), np.log10((top["n"].to_numpy() + 0.5) / denominator)))
 

@@ -4,7 +4,10 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
+import types
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +119,74 @@ def test_scores_do_not_depend_on_what_fits_in_memory(spark, monkeypatch, most):
     assert all(whole[i][:6] == part[i][:6] for i in whole)
 
 
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        out = run()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def counted(batches, order=5):
+    """(kind, key) to count, and the number of rows of a counting task."""
+    found, rows = Counter(), 0
+    for b in ppm._count(order)(iter(batches)):
+        rows += b.num_rows
+        for kind, key, n in zip(*(b.column(i).to_pylist() for i in range(3))):
+            found[kind, key] += n
+    return found, rows
+
+
+def test_counting_task_takes_little_memory():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(1000)) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    (found, _), peak = peak_mb(lambda: counted([batch]))
+    assert sum(map(len, texts)) > 4e6 and peak < 100
+    assert sum(n for (kind, _), n in found.items() if kind == ppm._WORD) == 600_000 and found[ppm._DOC, 0] == 600
+    assert sum(n for (kind, _), n in found.items() if kind == ppm._GRAM) == sum(len(t) + 1 for t in texts)
+
+
+def test_counting_task_passes_on_what_it_holds(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdef ") for _ in range(50)) for _ in range(200)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 10])], ["text"]) for i in range(0, 200, 10)]
+    whole, rows = counted(batches)
+    assert rows == len(whole)
+    monkeypatch.setattr(ppm, "MERGE_KEYS", 50)
+    monkeypatch.setattr(ppm, "HELD_KEYS", 200)
+    parts, more = counted(batches)
+    assert parts == whole and more > rows
+
+
+def test_model_takes_little_memory():
+    rng = np.random.default_rng(7)
+    keys = np.unique(ppm.grams(rng.integers(97, 123, 300_000).astype(np.uint16), np.arange(5, 300_000), 5))
+    _, peak = peak_mb(lambda: ppm.Model(keys, np.ones(len(keys), np.int64), 5))
+    assert peak * 1e6 < 200 * len(keys)
+
+
+def test_model_replaces_its_counts_in_a_worker():
+    keys = np.array([97, (97 << 9) | 98], np.uint64)
+    shared = types.SimpleNamespace(value={"parts": (ppm.Head, keys, np.array([-1.0, -2.0]))})
+    model = ppm._model(shared)
+    assert model.log_probability(keys).tolist() == [-1.0, -2.0]
+    assert ppm._model(shared) is model and list(shared.value) == ["model"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 15, 16, 5000])
+def test_table_finds_its_keys_only(n):
+    rng = np.random.default_rng(n)
+    keys = rng.permutation(np.unique(rng.integers(0, 1 << 54, 2 * n + 9).astype(np.uint64)))
+    table = ppm.Table(keys[:n], np.arange(n), np.arange(n) * 0.5)
+    slot = table.find(keys)
+    assert (slot[:n] >= 0).all() and (slot[n:] == -1).all()
+    assert (table.values[0][slot[:n]] == np.arange(n)).all() and (table.values[1][slot[:n]] == np.arange(n) * 0.5).all()
+    assert len(table.find(keys[:0])) == 0 and table.values[0][-1] == 0
+
+
 def test_toxicity_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
