@@ -66,3 +66,29 @@ def test_markers_hold_alike_on_texts_that_are_ascii_and_not(spark):
     # Lowered twice for the text and for a page that differs, not for each of a hundred terms.
     plan = rows.select(rules.class_scores(F.col("full"), F.array("full")).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lower(") <= 3
+
+
+def test_tables_and_their_headers_are_found_in_one_pass(spark):
+    """Bands of one shape are searched once, and a table's header and size come from the same pass over its cells."""
+    page = "Item     Qty\n{}        1\n{}        2\n\nName     Sum\nx        3\ny        4"
+    pages = spark.createDataFrame([(f"d{k}", 0, page.format(chr(97 + k), chr(98 + k)), 0) for k in range(3)], "doc_id string, page int, text string, page_start int").coalesce(1)
+    cells = tables.text_grid(pages)
+    got = {(r.doc_id, r.tbl): r for r in tables.assemble(cells).collect()}
+    assert len(got) == 6 and got["d2", 0].header == ["Item", "Qty"] and got["d1", 1].header == ["Name", "Sum"] and {r.n_rows for r in got.values()} == {3}
+    assert {(r.row, r.col): r.text for r in cells.where("doc_id = 'd1' and tbl = 0").collect()}[2, 0] == "c"
+    assert [tuple(r) for r in tables.sizes(cells).where("doc_id = 'd0'").orderBy("tbl").collect()] == [("d0", 0, 3, 2, 6, True), ("d0", 1, 3, 2, 6, True)]
+    for found in (tables.assemble(cells), tables.sizes(cells)):
+        assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_texts_are_scored_once_and_tags_won(spark):
+    from quillon.functions import quality
+
+    rows = spark.createDataFrame([("the lnvo1ce t0tal is due",), ("café lnvo1ce t0tal MiXed",), ("",), (None,)], "t string").repartition(1)
+    got = [tuple(r.q) for r in rows.select(quality.score_text(F.col("t")).alias("q")).collect()]
+    assert got == [(0.6, 0.2, 0.4, 0.0, 0.0, 5), (1.333333, 0.333333, 0.666667, 0.333333, 0.25, 4), (0.0,) * 5 + (0,), (0.0,) * 5 + (0,)]
+    plan = rows.select(quality.score_text(F.col("t"))["score"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") <= 2  # six times where each rate is an expression of its own
+    empty, late = F.create_map().cast("map<string,double>"), F.create_map(F.lit("signed"), F.lit(0.4), F.lit("multi_page"), F.lit(0.3))
+    (tags,) = rows.limit(1).select(rules.apply_tags(late, F.create_map(F.lit("signed"), F.lit(0.4)))).first()
+    assert [tuple(t) for t in tags] == [("signed", 0.4, "derived")] and rows.limit(1).select(rules.apply_tags(empty, empty)).first()[0] == []
